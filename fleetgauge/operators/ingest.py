@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.ordered import with_latest_mark, with_previous
-from fleetgauge.functions.semantics import SERVER, choose, int_div, int_ratio, minute_round, month_of
+from fleetgauge.functions.semantics import PERCENT, SERVER, choose, int_div, int_ratio, minute_round, month_of
 
 # The record type that carries scheduler load.
 SCHEDULER_MONITOR = "RING_BUFFER_SCHEDULER_MONITOR"
@@ -145,13 +145,18 @@ def _as_counter_samples(raw: DataFrame) -> DataFrame:
 def ratio_counter(raw: DataFrame, numerator: str, base: str, object_like: str = "%Buffer Manager%") -> DataFrame:
     """Counter over its base counter in the same object and sample, x 100, truncated.
 
-    Both sides meet on (server, sample time, object). A base of 0 gives NULL.
+    Both sides meet on (server, sample time, object). A base of 0 gives NULL. Names may be
+    padded with blanks; the prefix test is there because the scan can apply it.
     """
     scoped = raw.filter(F.col("object_name").like(object_like))
     key = [SERVER, "sample_time_utc", "object_name"]
-    bases = scoped.filter(F.rtrim("counter_name") == base).select(*key, F.col("cntr_value").alias("__base"))
+
+    def named(counter: str) -> Column:
+        return F.col("counter_name").startswith(counter) & (F.rtrim("counter_name") == counter)
+
+    bases = scoped.filter(named(base)).select(*key, F.col("cntr_value").alias("__base"))
     ratio = int_div(F.col("cntr_value") * 100, F.col("__base"))
-    joined = scoped.filter(F.rtrim("counter_name") == numerator).join(bases, key)
+    joined = scoped.filter(named(numerator)).join(bases, key)
     return _as_counter_samples(joined.withColumn("cntr_value", ratio))
 
 
@@ -266,7 +271,7 @@ def classify_waits(raw: DataFrame, capacity: DataFrame, benign: DataFrame | None
         seconds(wait).alias("wait_seconds"),
         seconds(wait - signal).alias("resource_seconds"),
         seconds(signal).alias("signal_seconds"),
-        F.round(share, 2).alias("total_wait_pct"),
+        F.round(share, 2).cast(PERCENT).alias("total_wait_pct"),
         "waiting_tasks_count",
     )
 

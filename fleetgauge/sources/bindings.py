@@ -231,6 +231,11 @@ SELECT concat('srv-', cast(o_custkey % 3 AS string)) AS server_name,
 FROM orders
 """
 
+BINDINGS["restart_registry"] = """
+SELECT DISTINCT concat('srv-', cast(o_custkey % 3 AS string)) AS server_name, o_orderdate AS restart_ts
+FROM orders WHERE o_orderstatus = 'F'
+"""
+
 BINDINGS["properties"] = """
 SELECT concat('srv-', cast(c_custkey % 50 AS string)) AS server_name,
        CASE cast(floor(c_custkey / 50.0) AS bigint) % 9 WHEN 0 THEN 'ProductMajorVersion' WHEN 1 THEN 'Edition'
@@ -325,6 +330,16 @@ def bound(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table.withColumns({c: table[c].cast("timestamp_ntz") for c in zoned}) if zoned else table
 
 
+def bound_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The named table as a stream over the landed Parquet files of its source table."""
+    text = BINDINGS[name]
+    frames = {}
+    for t in set(_FROM.findall(text)):
+        schema = spark.read.parquet(f"{sf_dir}/{t}.parquet").schema
+        frames[t] = spark.readStream.schema(schema).option("pathGlobFilter", f"{t}.parquet").parquet(sf_dir)
+    return spark.sql(_FROM.sub(r"FROM {\1}", text), **frames)
+
+
 def binder(spark: SparkSession, sf_dir: str):
     return partial(bound, spark, sf_dir)
 
