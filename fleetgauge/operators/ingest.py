@@ -11,6 +11,11 @@ from fleetgauge.functions.semantics import PERCENT, SERVER, choose, int_div, int
 # The record type that carries scheduler load.
 SCHEDULER_MONITOR = "RING_BUFFER_SCHEDULER_MONITOR"
 
+# The part of a scheduler record that is read.
+RECORD_SCHEMA = (
+    "SchedulerMonitorEvent struct<SystemHealth: struct<ProcessUtilization: array<string>, SystemIdle: array<string>>>"
+)
+
 # Counters kept per object class.
 BUFFER_MANAGER_COUNTERS = ["Page life expectancy"]
 MEMORY_MANAGER_COUNTERS = [
@@ -74,13 +79,13 @@ PRE_RESTART = "PreRestart"
 def ingest_scheduler_records(raw: DataFrame) -> DataFrame:
     """Scheduler XML records to CPU samples; a missing XML node gives NULL, not 0.
 
-    A record's age is the distance of its tick from the tick at sampling time. Local time is
-    produced when the raw rows carry ``sampled_at_local``.
+    Each record is parsed once; the first node of a name counts. A record's age is the
+    distance of its tick from the tick at sampling time. Local time is produced when the raw
+    rows carry ``sampled_at_local``.
     """
 
     def node(name: str) -> Column:
-        text = F.xpath_string("record", F.lit(f"/Record/SchedulerMonitorEvent/SystemHealth/{name}[1]"))
-        return F.nullif(text, F.lit("")).cast("int")
+        return F.get(F.col(f"__xml.SchedulerMonitorEvent.SystemHealth.{name}"), F.lit(0)).try_cast("int")
 
     age_ms = F.col("now_tick_ms") - F.col("tick_ms")
 
@@ -90,6 +95,7 @@ def ingest_scheduler_records(raw: DataFrame) -> DataFrame:
     clocks = {"sampled_at_utc": "event_time_utc", "sampled_at_local": "event_time_local"}
     return (
         raw.filter(F.col("ring_buffer_type") == SCHEDULER_MONITOR)
+        .withColumn("__xml", F.from_xml("record", F.lit(RECORD_SCHEMA), {"rowTag": "Record"}))
         .select(
             SERVER,
             *[shifted(c).alias(out) for c, out in clocks.items() if c in raw.columns],
@@ -258,7 +264,7 @@ def classify_waits(raw: DataFrame, capacity: DataFrame, benign: DataFrame | None
         busy = busy.join(benign.select("wait_type").distinct(), "wait_type", "left_anti")
 
     def seconds(ms: Column) -> Column:
-        return F.round(ms.cast("decimal(20,0)") / 1000, 2).cast("decimal(14,2)")
+        return (ms.cast("decimal(16,0)") * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(14,2)")
 
     wait, signal = F.col("wait_time_ms"), F.col("signal_wait_time_ms")
     share = F.try_divide(wait / F.lit(1000.0), F.col("total_server_time_seconds")) * 100
@@ -271,7 +277,7 @@ def classify_waits(raw: DataFrame, capacity: DataFrame, benign: DataFrame | None
         seconds(wait).alias("wait_seconds"),
         seconds(wait - signal).alias("resource_seconds"),
         seconds(signal).alias("signal_seconds"),
-        F.round(share, 2).cast(PERCENT).alias("total_wait_pct"),
+        share.cast(PERCENT).alias("total_wait_pct"),
         "waiting_tasks_count",
     )
 
