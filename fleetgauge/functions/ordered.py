@@ -79,17 +79,28 @@ def with_latest_mark(
 
 
 def with_previous_month(
-    rollup: DataFrame, month: str, keys: list[str], values: dict[str, Column]
+    rollup: DataFrame,
+    month: str,
+    keys: list[str],
+    values: dict[str, Column],
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``values``: that expression on the previous calendar month.
 
     A month without a row leaves the next one with NULL. There is one row per key and month,
     so the window is as long as the history has months; the rollup is computed only once.
+    ``earlier`` are stored rollup rows of other months, which serve as predecessors only.
     """
+    rows = rollup.withColumn("__new", F.lit(True))
+    if earlier is not None:
+        shared = [c for c in earlier.columns if c in rollup.columns]
+        stored = earlier.select(*shared).withColumn("__new", F.lit(False))
+        rows = rows.unionByName(stored, allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy(month)
     packed = F.struct(F.col(month).alias("m"), *[c.alias(n) for n, c in values.items()])
     follows = F.col("__prev.m") == F.add_months(F.col(month), -1)
     return (
-        rollup.withColumn("__prev", F.lag(packed).over(w))
+        rows.withColumn("__prev", F.lag(packed).over(w))
+        .filter("__new")
         .select(*rollup.columns, *[F.when(follows, F.col(f"__prev.{n}")).alias(n) for n in values])
     )

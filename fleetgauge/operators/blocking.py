@@ -91,7 +91,7 @@ _TRENDS = {
 }
 
 
-def blocking_mom(net: DataFrame) -> DataFrame:
+def blocking_mom(net: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Change against the stored (2-decimal) figures of the previous month, per database."""
     row, page = (F.col(c).cast(_STORED) for c in ("row_lock_wait_seconds", "page_lock_wait_seconds"))
     before = {
@@ -99,16 +99,18 @@ def blocking_mom(net: DataFrame) -> DataFrame:
         "__before_row_lock_wait_seconds": row,
         "__before_page_lock_wait_seconds": page,
     }
-    joined = with_previous_month(net, MONTH, [SERVER, "database_id"], before)
+    joined = with_previous_month(net, MONTH, [SERVER, "database_id"], before, earlier)
     changes = {out: percent(F.col(c) - F.col(f"__before_{c}"), F.col(f"__before_{c}")) for c, out in _TRENDS.items()}
     return joined.withColumns(changes).drop(*before)
 
 
-def blocking_monthly(boundaries: DataFrame, created_at: Column, compat: bool = False) -> DataFrame:
+def blocking_monthly(
+    boundaries: DataFrame, created_at: Column, earlier: DataFrame | None = None, compat: bool = False
+) -> DataFrame:
     """The full blocking row for every database of every server and month."""
     ranked = rank_within_instance(instance_totals(blocking_net(boundaries)))
     row, page = (F.col(c).cast(_STORED) for c in ("row_lock_wait_seconds", "page_lock_wait_seconds"))
-    return blocking_mom(blocking_shares(ranked, compat).withColumns(dominant_lock())).select(
+    return blocking_mom(blocking_shares(ranked, compat).withColumns(dominant_lock()), earlier).select(
         *DATABASE,
         row.alias("row_lock_wait_seconds"),
         page.alias("page_lock_wait_seconds"),

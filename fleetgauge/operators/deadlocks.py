@@ -90,13 +90,20 @@ def avg_rates(deltas: DataFrame) -> DataFrame:
     return totals.select(*GROUP, *_rates(F.col("total_events")))
 
 
-def mom_delta(rollup: DataFrame, value: str = "total_events", out: str = "month_over_month_delta") -> DataFrame:
+def mom_delta(
+    rollup: DataFrame,
+    value: str = "total_events",
+    out: str = "month_over_month_delta",
+    earlier: DataFrame | None = None,
+) -> DataFrame:
     """Difference to the previous calendar month; a missing month counts as 0."""
-    with_before = with_previous_month(rollup, MONTH, [SERVER], {"__before": F.col(value)})
+    with_before = with_previous_month(rollup, MONTH, [SERVER], {"__before": F.col(value)}, earlier)
     return with_before.withColumn(out, F.col(value) - F.coalesce("__before", F.lit(0))).drop("__before")
 
 
-def deadlock_monthly(deltas: DataFrame, generated_utc: Column, generated_local: Column) -> DataFrame:
+def deadlock_monthly(
+    deltas: DataFrame, generated_utc: Column, generated_local: Column, earlier: DataFrame | None = None
+) -> DataFrame:
     """The full row per server and local month from a single scan.
 
     Grouping sets count by day and by hour of day in one pass; both are at most 31 rows per
@@ -124,7 +131,7 @@ def deadlock_monthly(deltas: DataFrame, generated_utc: Column, generated_local:
             *_peak(F.col("hourly_count")),
         )
     )
-    return mom_delta(rollup).select(
+    return mom_delta(rollup, earlier=earlier).select(
         *GROUP,
         "total_events",
         *_rates(F.col("total_events")),

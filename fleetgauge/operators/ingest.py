@@ -442,13 +442,3 @@ def append_missing_rollups(new: DataFrame, existing: DataFrame, keys: list[str])
     Put the rollup type in ``keys`` where one table holds several kinds of rows.
     """
     return new.join(existing.select(*keys).distinct(), keys, "left_anti").select(*new.columns)
-
-
-def pending_samples(samples: DataFrame, existing: DataFrame, ts: str = "event_time_utc") -> DataFrame:
-    """Samples of (server, month) groups that are not rolled up yet, before any heavy work."""
-    done = existing.select(SERVER, F.col("rollup_month").alias("__month")).distinct()
-    return (
-        samples.withColumn("__month", month_of(ts))
-        .join(done, [SERVER, "__month"], "left_anti")
-        .select(*samples.columns)
-    )

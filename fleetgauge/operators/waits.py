@@ -142,14 +142,16 @@ def top_type(boundaries: DataFrame, category: str = BLOCKING) -> DataFrame:
     )
 
 
-def mom_pct(rollup: DataFrame, cols: dict[str, str], keys: list[str] | None = None) -> DataFrame:
+def mom_pct(
+    rollup: DataFrame, cols: dict[str, str], keys: list[str] | None = None, earlier: DataFrame | None = None
+) -> DataFrame:
     """Percent change against the previous calendar month, one column per entry of ``cols``.
 
-    NULL when that month is missing or its value is 0. To continue a stored history, pass
-    its rows together with the new ones and keep the new months of the result.
+    NULL when that month is missing or its value is 0. ``earlier`` are stored rollup rows
+    that new months may follow.
     """
     before = {f"__before_{c}": F.col(c) for c in cols}
-    with_before = with_previous_month(rollup, MONTH, keys or [SERVER], before)
+    with_before = with_previous_month(rollup, MONTH, keys or [SERVER], before, earlier)
     changes = {out: percent(F.col(c) - F.col(f"__before_{c}"), F.col(f"__before_{c}")) for c, out in cols.items()}
     return with_before.withColumns(changes).drop(*before)
 
@@ -158,7 +160,7 @@ def trend_columns() -> dict[str, str]:
     return {c: f"mom_{c.removesuffix('_seconds')}_change_pct" for c in TRENDS}
 
 
-def wait_monthly(boundaries: DataFrame, created_at: Column) -> DataFrame:
+def wait_monthly(boundaries: DataFrame, created_at: Column, earlier: DataFrame | None = None) -> DataFrame:
     """The full wait row per server and month.
 
     Snapshots are netted once per (type, category, hour). That result is small per group and
@@ -194,4 +196,4 @@ def wait_monthly(boundaries: DataFrame, created_at: Column) -> DataFrame:
             lead_by(name, F.col("blocking_type_seconds"), name).alias("top_blocking_wait_type"),
         )
     )
-    return mom_pct(rollup, trend_columns()).withColumn("created_at_utc", created_at)
+    return mom_pct(rollup, trend_columns(), earlier=earlier).withColumn("created_at_utc", created_at)
