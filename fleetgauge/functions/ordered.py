@@ -24,13 +24,17 @@ def with_previous(
     """
     boxed = F.struct(F.col(value).alias("v"))
     bucketed = df.withColumn(_BUCKET, F.date_trunc(bucket, order[0]))
+    # A plain column as the order keeps the aggregation hash-based.
+    latest = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     carry = (
         bucketed.groupBy(*keys, _BUCKET)
-        .agg(F.max_by(boxed, F.struct(*order)).alias("__last"))
+        .agg(F.max_by(value, latest).alias("__last"))
         .select(
             *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
             F.col(_BUCKET).alias("__kb"),
-            F.lag("__last").over(Window.partitionBy(*keys).orderBy(_BUCKET)).alias("__carry"),
+            F.lag(F.struct(F.col("__last").alias("v")))
+            .over(Window.partitionBy(*keys).orderBy(_BUCKET))
+            .alias("__carry"),
         )
     )
     inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
