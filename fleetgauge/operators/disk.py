@@ -66,7 +66,7 @@ def drive_growth(first: Column, last: Column) -> dict[str, Column]:
     grown = last - first
     return {
         "absolute_growth_kb": grown,
-        "percent_growth": F.when(first > 0, F.try_divide(grown.cast("decimal(18,4)"), first)).cast("decimal(10,4)"),
+        "percent_growth": F.when(first > 0, F.try_divide(grown.cast("decimal(18,4)"), first)).cast("decimal(18,4)"),
     }
 
 

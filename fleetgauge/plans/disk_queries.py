@@ -105,7 +105,7 @@ _DRIVES = f"""drives AS (
   SELECT {G}, 'Drive' AS rollup_type, s.* EXCLUDE (server_name, rollup_month), m.server_name IS NOT NULL AS is_sql_disk,
          rollup_free_space_kb, rollup_percent_free, last_used_kb - first_used_kb AS absolute_growth_kb,
          CASE WHEN first_used_kb > 0
-              THEN cast(round(cast(last_used_kb - first_used_kb AS double) / first_used_kb, 4) AS decimal(10,4)) END AS percent_growth,
+              THEN cast(round(cast(last_used_kb - first_used_kb AS double) / first_used_kb, 4) AS decimal(18,4)) END AS percent_growth,
          avg_read_latency_ms, avg_write_latency_ms, avg_overall_latency_ms, worst_observed_latency_ms, {STAMPS}
   FROM stats AS s JOIN first_last USING ({_DRIVE}) LEFT JOIN mount_speed AS m USING ({_DRIVE}) LEFT JOIN last_rows USING ({_DRIVE}))"""
 _FOOTPRINT = """footprint AS (

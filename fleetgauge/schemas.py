@@ -97,6 +97,56 @@ SCHEMAS: dict[str, str] = {
         f"{_columns(_PCT, 'mom_blocking_change_pct mom_row_lock_change_pct mom_page_lock_change_pct')}, "
         "created_at_utc timestamp_ntz"
     ),
+    "wait_monthly": (
+        f"{_ROLLUP}, {_columns(_SECONDS, 'total_resource_seconds total_signal_seconds')}, "
+        "signal_to_resource_ratio decimal(18,4), "
+        + _columns(
+            _SECONDS,
+            "total_wait_seconds cpu_wait_seconds memory_wait_seconds disk_wait_seconds blocking_wait_seconds "
+            "other_wait_seconds cpu_wait_pct memory_wait_pct disk_wait_pct blocking_wait_pct other_wait_pct",
+        )
+        + ", "
+        + ", ".join(
+            f"top_wait_type_{i} string, top_wait_type_{i}_seconds {_SECONDS}, top_wait_type_{i}_pct {_PCT}"
+            for i in (1, 2, 3)
+        )
+        + ", peak_blocking_hour_local int, top_blocking_wait_type string, "
+        + _columns(
+            _PCT,
+            "mom_total_wait_change_pct mom_cpu_wait_change_pct mom_memory_wait_change_pct mom_disk_wait_change_pct "
+            "mom_blocking_wait_change_pct",
+        )
+        + ", created_at_utc timestamp_ntz"
+    ),
+    "disk_monthly": (
+        f"{_ROLLUP}, {_columns('string', 'rollup_type mount_path drive_label drive_type')}, "
+        f"{_columns('boolean', 'is_mount_point is_sql_disk')}, "
+        f"{_columns('bigint', 'total_size_kb free_space_kb used_space_kb')}, "
+        f"{_columns('decimal(5,2)', 'percent_free percent_used')}, rollup_free_space_kb bigint, "
+        "rollup_percent_free decimal(5,2), absolute_growth_kb bigint, percent_growth decimal(18,4), "
+        f"{_columns('bigint', 'samples_critical_free days_critical_free max_used_space_kb min_free_space_kb')}, "
+        f"{_columns('int', 'avg_read_latency_ms avg_write_latency_ms avg_overall_latency_ms worst_observed_latency_ms')}, "
+        f"{_STAMPS}, {_columns('string', 'database_name physical_name file_type file_drive')}, "
+        f"{_columns('bigint', 'file_size_kb file_growth_kb log_segment_count')}, log_segment_severity string, "
+        f"{_columns('bigint', 'data_file_count log_file_count total_database_size_kb total_database_growth_kb')}"
+    ),
+    "system_health": (
+        f"{_ROLLUP}, cpu_cores int, {_columns('string', 'host_name host_power_plan')}, host_ram_mb int, "
+        "is_virtual_machine boolean, numa_nodes int, instance_collation string, instance_name string, "
+        f"is_name_matching boolean, {_columns('string', 'edition friendly_version product_version')}, "
+        f"{_columns('boolean', 'ad_hoc_enabled backup_compression')}, cost_threshold int, "
+        f"{_columns('boolean', 'is_ag_enabled is_ag_present is_clustered lock_pages_in_memory')}, "
+        f"{_columns('int', 'max_dop max_memory_mb min_memory_mb')}, instant_file_initialization boolean, "
+        f"{_columns('string', 'host_distribution host_operating_system')}"
+    ),
+    "database_health": (
+        f"{_ROLLUP}, {_columns('string', 'database_name recovery_model')}, "
+        f"{_columns('boolean', 'is_page_verification_not_checksum has_high_segment_count')}, log_segment_count bigint, "
+        f"{_columns('boolean', 'has_percent_autogrowth is_backup_overdue')}, last_full_backup timestamp_ntz, "
+        "is_log_backup_overdue boolean, last_log_backup timestamp_ntz, "
+        f"{_columns('boolean', 'has_files_on_c_disk is_auto_shrink_on is_auto_close_on')}, "
+        "last_good_check timestamp_ntz"
+    ),
 }
 
 

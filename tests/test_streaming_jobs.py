@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_point
 from fleetgauge.operators import cpu, ingest, waits
 from fleetgauge.plans import jobs as plans
 from fleetgauge.schemas import SCHEMAS, conform, schema
@@ -176,10 +177,23 @@ def test_other_rollup_types_do_not_block(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name", sorted(SCHEMAS))
-def test_layouts_parse(name):
+def test_layouts_parse(spark, name):
     assert schema(name).fields
 
 
+@pytest.mark.parametrize(
+    "query,name",
+    [
+        ("cp9_cpu_monthly", "cpu_monthly"), ("mm8_memory_monthly", "memory_monthly"), ("wa10_wait_monthly", "wait_monthly"),
+        ("bk7_blocking_monthly", "blocking_monthly"), ("dd7_deadlock_monthly", "deadlock_monthly"),
+        ("dk12_disk_monthly", "disk_monthly"), ("ge7_system_health", "system_health"), ("ge13_database_health", "database_health"),
+    ],
+)
+def test_rollups_have_their_stored_layout(spark, query, name):
+    df = entry_point.queries()[query](spark, "/root/testdata/sf0.001")
+    assert dict(df.dtypes) == dict((f.name, f.dataType.simpleString()) for f in schema(name))
+
+
 def test_conform_trims_and_fills(spark):
     df = spark.createDataFrame([("a", "Page life expectancy   ", 5)], "server_name string, counter_name string, counter_value int")
     r = conform(df, "counter_samples").first()
