@@ -108,12 +108,12 @@ def ingest_scheduler_records(raw: DataFrame) -> DataFrame:
 
 def append_new_minutes(
     batch: DataFrame,
-    history: DataFrame,
+    history: DataFrame | None,
     keys: list[str] | None = None,
     ts: str = "event_time_utc",
     strict: bool = False,
 ) -> DataFrame:
-    """Batch rows whose (server, rounded minute) is not in the history yet.
+    """Batch rows whose (server, rounded minute) is not in the history (if any) yet.
 
     The join key is the minute, so a chatty server spreads over its minutes; the history side
     is reduced to distinct minutes before the shuffle. Duplicates inside the batch stay, as
@@ -121,7 +121,6 @@ def append_new_minutes(
     combined minimum, not a sort of the group).
     """
     keys = keys or [SERVER]
-    seen = history.select(*keys, minute_round(ts).alias("__minute")).distinct()
     fresh = batch.withColumn("__minute", minute_round(ts))
     if strict:
         rest = [c for c in batch.columns if c != ts and c not in keys]
@@ -130,7 +129,10 @@ def append_new_minutes(
             .agg(F.min(F.struct(ts, *rest)).alias("__row"))
             .select(*keys, "__minute", "__row.*")
         )
-    return fresh.join(seen, [*keys, "__minute"], "left_anti").select(*batch.columns)
+    if history is not None:
+        seen = history.select(*keys, minute_round(ts).alias("__minute")).distinct()
+        fresh = fresh.join(seen, [*keys, "__minute"], "left_anti")
+    return fresh.select(*batch.columns)
 
 
 def _as_counter_samples(raw: DataFrame) -> DataFrame:

@@ -35,11 +35,8 @@ def collect_minutes(
         lo, hi = batch.agg(F.min(ts) - minute, F.max(ts) + minute).first()
         if lo is None:
             return
-        near = month_slice(history, lo, hi, ts, "event_month").select(SERVER, ts)
-        batch = append_new_minutes(batch, near, ts=ts, strict=strict)
-    elif strict:
-        batch = append_new_minutes(batch, batch.limit(0), ts=ts, strict=True)
-    append_samples(batch, path, name, ts)
+        history = month_slice(history, lo, hi, ts, "event_month").select(SERVER, ts)
+    append_samples(append_new_minutes(batch, history, ts=ts, strict=strict), path, name, ts)
 
 
 def roll_up(

@@ -64,7 +64,7 @@ FROM events
 UNION ALL
 SELECT concat('srv-', cast(user_id % 2 AS string)), ts, concat('INST', cast(user_id % 4 AS string), ':Buffer Manager'),
        'Buffer cache hit ratio base', '', cast(user_id % 11 * 250 AS bigint), 1073939712
-FROM events WHERE event_id % 9 = 1
+FROM events
 """
 
 BINDINGS["volume_samples"] = """
@@ -136,7 +136,7 @@ SELECT DISTINCT concat('srv-', cast(l_suppkey % 3 AS string)) AS server_name,
        CASE WHEN l_linenumber = 7 THEN 'LOG' ELSE 'ROWS' END AS type_desc,
        cast(l_linenumber * 1000 AS bigint) AS size_pages, cast(l_linenumber * 10 AS bigint) AS growth_pages,
        l_suppkey % 4 = 0 AS is_percent_growth
-FROM lineitem WHERE l_linenumber <= 7
+FROM lineitem
 """
 
 BINDINGS["log_segments"] = """
@@ -267,7 +267,7 @@ FROM customer
 
 BINDINGS["availability_groups"] = """
 SELECT concat('srv-', cast(c_custkey % 50 AS string)) AS server_name, concat('ag', cast(c_nationkey AS string)) AS group_name
-FROM customer WHERE c_nationkey % 6 = 0
+FROM customer WHERE c_nationkey = 3 AND c_mktsegment = 'BUILDING'
 """
 
 BINDINGS["schedulers"] = """
@@ -311,9 +311,10 @@ FROM orders
 """
 
 BINDINGS["databases"] = """
-SELECT DISTINCT concat('srv-', cast(o_custkey % 3 AS string)) AS server_name, cast(o_custkey % 4 AS int) AS database_id,
+SELECT DISTINCT concat('srv-', cast(o_custkey % 3 AS string)) AS server_name,
+       CASE WHEN o_custkey % 4 = 3 THEN 30 ELSE cast(o_custkey % 4 AS int) END AS database_id,
        concat('db', cast(o_custkey % 4 AS string)) AS database_name
-FROM orders WHERE o_custkey % 4 < 3
+FROM orders
 """
 
 _TABLES = ["customer", "events", "lineitem", "orders", "supplier"]
