@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -248,7 +250,8 @@ def wait_category(wait_type: Column) -> Column:
     for category, rule in WAIT_CATEGORIES:
         hit = wait_type.isin(rule.get("names", []))
         for pattern in rule.get("like", []):
-            hit = hit | wait_type.like(pattern)
+            literal = re.split("[%_]", pattern)[0]  # a cheap test before the pattern match
+            hit = hit | (wait_type.startswith(literal) & wait_type.like(pattern))
         cases.append((hit, category))
     return choose(cases, "Other")
 
