@@ -10,6 +10,7 @@ import __spark_entry__ as entry_point
 from fleetgauge.operators import cpu, ingest, waits
 from fleetgauge.plans import jobs as plans
 from fleetgauge.schemas import SCHEMAS, conform, schema
+from fleetgauge.sources.session import checkpoint_root
 from fleetgauge.sources.tables import append_samples, read_table
 from fleetgauge.streaming import jobs
 
@@ -208,6 +209,10 @@ def test_landed_formats(spark, tmp_path, fmt):
     assert bag(read_table(spark, f"{tmp_path}/x", "cpu_samples", fmt)) == bag(df)
 
 
+def test_checkpoints_go_where_the_session_says(spark):
+    assert checkpoint_root(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def test_append_partitions_by_month(spark, tmp_path):
     append_samples(spark.createDataFrame(cpu_rows([0, 200]), CPU), f"{tmp_path}/h", "cpu_samples")
     assert {str(r.event_month) for r in spark.read.parquet(f"{tmp_path}/h").collect()} == {"2024-01-01", "2024-02-01"}
