@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
 from fleetgauge.operators import ingest, memory
+from fleetgauge.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = {n: q for n, q in entry_point.queries().items() if not n.startswith("st")}
+BATCH = {n: q for n, q in registry.queries().items() if not n.startswith("st")}
 UNSCALABLE = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow", "RoundRobin"]
 
 
