@@ -13,8 +13,10 @@ from fleetgauge.llm.components import connected_components
 
 WORDS, BANDS, ROWS = 5, 32, 4
 #: A pair is dropped without a look at its sets if fewer than this share of its minima agree. At a similarity of 0.75
-#: the share has a standard deviation of 0.04, so a true pair is six deviations away from it.
-AGREE = 0.5
+#: the share has a standard deviation of 0.04, so a true pair is over four deviations away from it.
+AGREE = 0.58
+#: Nodes of a mixed bucket that all others are compared with before what is left is looked at in full.
+HEADS = 6
 #: Shingles hashed at a time.
 BLOCK = 1 << 15
 SEED = 20_240_601
@@ -108,6 +110,27 @@ def _sets(width: int):
     return run
 
 
+def _exploded(batches):
+    for batch in batches:
+        sizes = [len(s.as_buffer()) // 8 for s in batch.column("shingles")]
+        nodes = np.repeat(batch.column("node").to_numpy(), sizes)
+        values = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.int64)
+        for at in range(0, len(nodes), 1 << 17):
+            part = slice(at, at + (1 << 17))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[part]), pa.array(values[part]), pa.array(np.repeat(sizes, sizes)[part])], names=["node", "shingle", "n"]
+            )
+
+
+def _bitmaps(batches):
+    for batch in batches:
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column("shingles")]
+        odd = np.array([np.bincount((s & np.uint64(511)).astype(np.int64), minlength=512) & 1 for s in sets], np.uint8).reshape(len(sets), 512)
+        bits = np.packbits(odd, axis=1).view(np.int64)
+        columns = [batch.column("node"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(8))]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "n", *(f"b{i}" for i in range(8))])
+
+
 def _agreeing(least: float):
     def run(batches):
         for batch in batches:
@@ -140,6 +163,29 @@ def _with_both(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
     return pairs.join(s, "a").join(t, "b").select("a", "b", "s", "t")
 
 
+def _possible(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket's nodes in different components that counts do not rule out.
+
+    Only shingles that some other node has too can be common, so the intersection is at most the smaller number of such
+    shingles, and it must reach percent / (100 + percent) of the sum of sizes. And of bitmaps that hold the parity of the
+    shingles of each of 512 cells, at most as many bits differ as shingles do. No linked pair is ruled out.
+    """
+    here = sets.join(left.select("node").distinct(), "node", "left_semi")
+    exploded = here.mapInArrow(_exploded, "node long, shingle long, n long")
+    alone = exploded.groupBy("shingle").agg(F.count("*").alias("__c"), F.min("node").alias("node")).where("__c = 1")
+    unique = alone.groupBy("node").agg(F.count("*").alias("unique"))
+    cells = [f"b{i}" for i in range(8)]
+    counted = here.mapInArrow(_bitmaps, f"node long, n long, {', '.join(f'{c} long' for c in cells)}").join(unique, "node", "left")
+    counted = counted.select("node", "n", (F.col("n") - F.coalesce("unique", F.lit(0))).alias("common"), *cells)
+    rows = materialize(left.join(counted, "node"), "possible")
+    x, y = rows.alias("x"), rows.alias("y")
+    reach = F.least("x.common", "y.common") * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))
+    differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in cells), F.lit(0))
+    near = differ * (100 + percent) <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & reach & near)
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = WORDS, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -151,8 +197,9 @@ def near_duplicates(
     thinned by the signatures and confirmed on the full sets.
 
     Hot groups: equal sets are one node from the start. A band bucket gives the pairs of its smallest node with all
-    others, and after the components of those links only the pairs of its nodes in *different* components, so nothing is
-    capped and a bucket that is one group never makes all its pairs.
+    others; a bucket whose nodes are not yet one component gives the pairs with a few nodes drawn by a hash; then only
+    pairs of nodes in *different* components are left, thinned by a count of shingles that another node has too. Nothing
+    is capped, and a bucket that is one group never makes all its pairs.
 
     Null or blank texts have an empty set and stay alone. Rows with the same id are the same document. A row whose id is
     null stays alone, with a null component, and is kept. Other columns are ignored; an empty table gives no rows.
@@ -181,20 +228,26 @@ def near_duplicates(
         return _with_both(likely, sets, "shingles").mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
     first = materialize(members.union(links(shared.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())), "links")
+    def placed(found: DataFrame) -> DataFrame:
+        """Bucket rows with components, for buckets whose nodes are in several."""
+        rows = shared.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        several = rows.groupBy("key").agg(F.min("component").alias("__l"), F.max("component").alias("__h")).where("__l < __h").select("key")
+        return rows.join(several, "key", "left_semi")
+
     found = materialize(connected_components(first), "components")
-    placed = shared.join(found, "node", "left").select("key", "node", "head", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("__l"), F.max("component").alias("__h")).where("__l < __h").select("key")
-    left = materialize(placed.join(mixed, "key", "left_semi"), "mixed")
-    x, y = left.alias("x"), left.alias("y")
-    rest = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
-        .where("x.node <> x.head AND y.node <> x.head")  # those pairs have been looked at
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-    )
-    more = materialize(links(rest), "links")
-    if not more.isEmpty():
-        found = materialize(connected_components(first.union(more)), "components")
+    left = materialize(placed(found), "mixed")
+    if not left.isEmpty():
+        rank = [F.xxhash64("node", F.lit(k)) for k in range(HEADS)]
+        heads = left.groupBy("key").agg(*[F.min_by(F.struct("node", "component"), r).alias(f"h{k}") for k, r in enumerate(rank)])
+        heads = heads.select("key", F.explode(F.array(*[f"h{k}" for k in range(HEADS)])).alias("h")).distinct()
+        again = left.join(heads, "key").where("component <> h.component").select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
+        first = materialize(first.union(links(again)), "links")
+        found = materialize(connected_components(first), "components")
+        left = materialize(placed(found), "mixed")
+    if not left.isEmpty():
+        rest = materialize(links(_possible(left, sets, percent)), "links")
+        if not rest.isEmpty():
+            found = materialize(connected_components(first.union(rest)), "components")
     return (
         signed.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
