@@ -84,11 +84,11 @@ def running_total(df: DataFrame, group: list[str], order: str, tie: str, value:
     df = df.withColumn("__chunk", F.floor(F.conv(F.substring(order, 1, 8), 16, 10).cast("long") * chunks / F.lit(2**32)).cast("long"))
     sums = df.groupBy(*group, "__chunk").agg(F.sum(value).alias("__sum"))
     earlier = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*group, "__chunk", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"))
+    offsets = sums.select(*group, "__chunk", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset"))
     keys = [*group, "__chunk"]
     marked = df.alias("d").join(
         offsets.alias("o"), [F.col(f"d.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
-    ).select("d.*", "o.__before")
+    ).select("d.*", "o.__offset")
     within = Window.partitionBy(*keys).orderBy(order, tie).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.col("__before") + F.coalesce(F.sum(value).over(within), F.lit(0))
-    return marked.withColumn(out, total.cast("long")).drop("__chunk", "__before")
+    total = F.col("__offset") + F.coalesce(F.sum(value).over(within), F.lit(0))
+    return marked.withColumn(out, total.cast("long")).drop("__chunk", "__offset")
