@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["minhash", "packing", "line_dedup", "quality_qda", "mixing"]
+_MODULES = ["minhash", "packing", "line_dedup", "quality_qda", "quality_rules", "vector_search", "mixing", "token_files"]
 
 
 def _loaded():
