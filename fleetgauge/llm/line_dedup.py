@@ -19,7 +19,7 @@ CELLS = 1 << 18
 #: Tokens handled at a time, and lines of one token beyond which drawn lines are compared first.
 BLOCK, HEAVY, HEADS = 1 << 18, 32, 6
 #: Longs of the bitmap of a line.
-LONGS = 1
+LONGS = 3
 
 
 def _memo() -> Memo:
