@@ -37,8 +37,8 @@ PRIOR = {"cue:other": (0.2, 60.0), "cue:content": (8.0, 2.0)} | {f"tag:{t}": (0.
 PRIOR |= {"tag:article": (40.0, 0.2), "tag:main": (20.0, 0.5)}
 SMOOTH = 0.5
 #: Bounds of log ratios, so that one page type among the training pages does not rule all others: of what a text looks
-#: like, of an element, and of an edge. Elements and cues with starting counts count at least KNOWN the way these point.
-LOOKS, ELEMENT, KNOWN, EDGE = 0.8, 1.5, 5.0, 5.3
+#: like, of an element, of an edge, and of content below other text. Elements and cues with starting counts count at least KNOWN the way these point.
+LOOKS, ELEMENT, KNOWN, EDGE, BELOW_OTHER = 0.8, 1.5, 5.0, 5.3, -4.0
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</[^a-zA-Z][^>]*>""", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -187,7 +187,7 @@ def model_of(counts: dict[str, tuple[float, float]], edges: list[list[float]]) -
     edge = []
     for p in (0, 1):
         gap = math.log((edges[p][1] + SMOOTH) / (edges[p][0] + SMOOTH))
-        gap = max(-EDGE, min(EDGE, gap))
+        gap = max(-EDGE, min(EDGE if p else BELOW_OTHER, gap))
         edge.append([-math.log1p(math.exp(gap)), -math.log1p(math.exp(-gap))])
     return TreeModel(logs, edge, (math.log(0.9), math.log(0.1)))
 
