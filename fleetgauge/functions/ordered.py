@@ -91,20 +91,21 @@ def with_previous_month(
 ) -> DataFrame:
     """Add one column per entry of ``values``: that expression on the previous calendar month.
 
-    A month without a row leaves the next one with NULL. There is one row per key and month,
-    so the window is as long as the history has months; the rollup is computed only once.
-    ``earlier`` are stored rollup rows of other months, which serve as predecessors only.
+    A month without a row leaves the next one with NULL. The window's frame is the previous
+    month, whatever rows lie between: where a key has several rows in a month (a database that
+    was renamed in it), each of them gets the sum over all rows of the month before. ``values``
+    are numeric. ``earlier`` are stored rollup rows of other months, predecessors only.
     """
     rows = rollup.withColumn("__new", F.lit(True))
     if earlier is not None:
         shared = [c for c in earlier.columns if c in rollup.columns]
         stored = earlier.select(*shared).withColumn("__new", F.lit(False))
         rows = rows.unionByName(stored, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(month)
-    packed = F.struct(F.col(month).alias("m"), *[c.alias(n) for n, c in values.items()])
-    follows = F.col("__prev.m") == F.add_months(F.col(month), -1)
+    number = F.year(month) * 12 + F.month(month)
+    w = Window.partitionBy(*keys).orderBy(number).rangeBetween(-1, -1)
+    kinds = {f.name: f.dataType for f in rollup.select(*[c.alias(n) for n, c in values.items()]).schema}
     return (
-        rows.withColumn("__prev", F.lag(packed).over(w))
+        rows.withColumns({f"__prev_{n}": F.sum(c).over(w).cast(kinds[n]) for n, c in values.items()})
         .filter("__new")
-        .select(*rollup.columns, *[F.when(follows, F.col(f"__prev.{n}")).alias(n) for n in values])
+        .select(*rollup.columns, *[F.col(f"__prev_{n}").alias(n) for n in values])
     )

@@ -119,10 +119,13 @@ def append_new_minutes(
 
     The join key is the minute, so a chatty server spreads over its minutes; the history side
     is reduced to distinct minutes before the shuffle. Duplicates inside the batch stay, as
-    polling keeps them; ``strict`` keeps the earliest row of each minute instead (a map-side
-    combined minimum, not a sort of the group).
+    polling keeps them; ``strict`` keeps the earliest row of each key and minute instead (a
+    map-side combined minimum). A long table, with a row per counter, must name its counter
+    columns in ``keys``; without them ``strict`` would keep one counter of a minute.
     """
     keys = keys or [SERVER]
+    if strict and "counter_name" in batch.columns and "counter_name" not in keys:
+        raise ValueError("strict removal in a table of counters needs the counter columns in keys")
     fresh = batch.withColumn("__minute", minute_round(ts))
     if strict:
         rest = [c for c in batch.columns if c != ts and c not in keys]
@@ -435,12 +438,23 @@ def boundary_snapshots(samples: DataFrame, restarts: DataFrame, ts: str = "event
     they turn out small and otherwise joins on (server, sample time).
     """
     marks = boundary_marks(samples, restarts, ts)
-    rest = [c for c in samples.columns if c not in (SERVER, ts)]
+    local = "event_time_local"
+    rest = [F.col(c).alias("snapshot_date_local" if c == local else c) for c in samples.columns if c not in (SERVER, ts)]
     return samples.join(marks, [SERVER, ts]).select(
         SERVER, F.col(ts).alias("snapshot_date_utc"), "snapshot_type", "rollup_month", *rest
     )
 
 
+def closed_months(boundaries: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Boundary rows of the months that are over for their server: those with a closing row, and with ``as_of`` only
+    months that ended by then. An open month has an opening row alone, whose net would be negative."""
+    month = F.col("rollup_month")
+    closed = boundaries.filter(F.col("snapshot_type") == END_OF_MONTH)
+    if as_of is not None:
+        closed = closed.filter(F.add_months(month, 1) <= as_of)
+    return boundaries.join(closed.select(SERVER, "rollup_month").distinct(), [SERVER, "rollup_month"], "left_semi")
+
+
 def append_missing_rollups(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rollup rows whose key is not stored yet. Applying it twice adds nothing.
 

@@ -68,7 +68,7 @@ QUERIES = {
     ),
     "in14_boundary_snapshots": _using("cumulative_samples", "restarts")(ingest.boundary_snapshots),
     "in14_monthly_net": _using("cumulative_samples", "restarts")(
-        lambda c, r: waits.boundary_net(ingest.boundary_snapshots(c, r), ["server_name", "rollup_month"], ["value"])
+        lambda c, r: waits.boundary_net(ingest.closed_months(ingest.boundary_snapshots(c, r)), ["server_name", "rollup_month"], ["value"])
     ),
     "in15_append_missing_rollups": _using("wait_boundaries", "lock_wait_boundaries")(_new_wait_rollups),
 }
@@ -233,7 +233,7 @@ WHERE NOT EXISTS (SELECT 1 FROM restart_registry AS g WHERE g.server_name = o.se
     "in14_monthly_net": with_bindings(
         f"""WITH {BOUNDARIES}
 SELECT {G}, cast(sum(CASE WHEN snapshot_type = 'StartOfMonth' THEN -abs(value) ELSE value END) AS bigint) AS value
-FROM boundaries GROUP BY {G}"""
+FROM boundaries GROUP BY {G} HAVING count(CASE WHEN snapshot_type = 'EndOfMonth' THEN 1 END) > 0"""
     ),
     "in15_append_missing_rollups": with_bindings(
         f"""WITH {_B} SELECT * FROM ({_SQL["wa4_category_pivot"]}) AS n

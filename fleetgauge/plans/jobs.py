@@ -21,10 +21,18 @@ Rollup = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 
 def collect_minutes(
-    spark: SparkSession, batch: DataFrame, path: str, name: str, ts: str = "event_time_utc", strict: bool = False
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    name: str,
+    ts: str = "event_time_utc",
+    strict: bool = False,
+    keys: list[str] | None = None,
 ) -> None:
     """Append the batch's new minutes to a sample history.
 
+    ``keys`` (by default the server) tell whose minutes are compared, see ``append_new_minutes``.
+
     Only history between the first and the last minute of the batch can hold a duplicate, so
     the batch's time range (a one-row aggregate) bounds the scan of the history. A minute on
     either side allows for rounding.
@@ -35,8 +43,8 @@ def collect_minutes(
         lo, hi = batch.agg(F.min(ts) - minute, F.max(ts) + minute).first()
         if lo is None:
             return
-        history = month_slice(history, lo, hi, ts, "event_month").select(SERVER, ts)
-    append_samples(append_new_minutes(batch, history, ts=ts, strict=strict), path, name, ts)
+        history = month_slice(history, lo, hi, ts, "event_month").select(*(keys or [SERVER]), ts)
+    append_samples(append_new_minutes(batch, history, keys, ts, strict), path, name, ts)
 
 
 def roll_up(
@@ -50,15 +58,21 @@ def roll_up(
     ts: str | None = "event_time_utc",
     partition_column: str | None = None,
     kind: str | None = None,
+    as_of: date | None = None,
 ) -> None:
     """Roll up the months in ``[start, end)`` that are not stored yet and append them.
 
+    With ``as_of``, months that were not over on that day are left out; a stored month is never computed again, so an
+    open one must not be stored.
+
     ``build`` gets the pending source rows and the stored rollups from one month before
     ``start`` (None at first). ``ts`` is the time that decides the month; None means that the
     source has ``rollup_month`` itself. ``kind`` is the rollup type where one table holds
     several: rows of another type then do not count as done.
     """
     keys = keys or [SERVER, MONTH]
+    if as_of is not None:
+        end = min(end, as_of.replace(day=1))
     if ts is None:
         pending = source.filter((F.col(MONTH) >= F.lit(start)) & (F.col(MONTH) < F.lit(end)))
     else:

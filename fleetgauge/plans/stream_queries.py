@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetgauge.operators import cpu
 from fleetgauge.plans.ingest_queries import _minute
@@ -45,24 +46,34 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    query, out = jobs.counter_delta_stream(
-        bound_stream(spark, sf_dir, "counter_resets"),
-        _fresh_root(spark, "deltas"),
-        order=["event_time_utc", "sample_id"],
-    )
+    root = _fresh_root(spark, "deltas")
+    stream = _landed_by_time(spark, bound(spark, sf_dir, "counter_resets"), root, "event_time_utc")
+    query, out = jobs.counter_delta_stream(stream, root, order=["event_time_utc", "sample_id"])
     query.awaitTermination()
     return out.read()
 
 
 def _landed(spark: SparkSession, df: DataFrame, root: str) -> DataFrame:
-    """Write a derived table as landed files and open them as a stream."""
-    df.write.parquet(f"{root}/landed")
-    return spark.readStream.schema(df.schema).parquet(f"{root}/landed")
+    """Write a derived table as several landed files and open them as a stream of one file at a time."""
+    df.repartition(3).write.parquet(f"{root}/landed")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+
+
+def _landed_by_time(spark: SparkSession, df: DataFrame, root: str, ts: str) -> DataFrame:
+    """The same in order of time, one landing after the other."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:
+        return _landed(spark, df, root)
+    step = (hi - lo) / 3
+    for i in range(3):
+        inside = (F.col(ts) >= F.lit(lo + i * step)) & ((F.col(ts) < F.lit(lo + (i + 1) * step)) if i < 2 else F.lit(True))
+        df.filter(inside).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _fresh_root(spark, "snapshots")
-    stream = _landed(spark, bound(spark, sf_dir, "cumulative_samples"), root)
+    stream = _landed_by_time(spark, bound(spark, sf_dir, "cumulative_samples"), root, "event_time_utc")
     query, out = jobs.boundary_snapshot_stream(stream, lambda: bound(spark, sf_dir, "restarts"), root)
     query.awaitTermination()
     return out.read()

@@ -155,8 +155,11 @@ def schema(name: str) -> StructType:
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Cast to the stored layout. Columns the input lacks become NULL; strings lose the
-    trailing blanks of fixed-width sources, so that equal names compare equal."""
+    """Cast to the stored layout. Columns the input lacks become NULL, but for local times of
+    boundary tables, without which peak hours would vanish unnoticed; strings lose the trailing
+    blanks of fixed-width sources, so that equal names compare equal."""
+    if "snapshot_date_local" in schema(name).names and "snapshot_date_local" not in df.columns:
+        raise ValueError(f"{name} needs snapshot_date_local")
     out = []
     for field in schema(name):
         c = F.col(field.name) if field.name in df.columns else F.lit(None)

@@ -1,10 +1,10 @@
 """Streams over landed samples.
 
 De-duplication and hourly alerts are plain streaming operators. Differencing and boundary
-detection need the last reading of every server. They run as ``foreachBatch`` around the
-batch operators, with that last reading kept as a small table: the rows of one chatty server
-in a micro-batch are then split like in batch, instead of all landing in one stateful task,
-and the streaming result is the batch result by construction.
+detection need earlier readings of every key. They run as ``foreachBatch`` around the
+batch operators, with the readings of a look-back kept as a small table: rows that arrive out
+of order within it are re-ordered, later ones are put aside and counted. The rows of one chatty
+server in a micro-batch are split like in batch, instead of all landing in one stateful task.
 """
 
 from __future__ import annotations
@@ -79,24 +79,64 @@ class VersionedTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).drop("batch")
 
+    def _folder(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-def _on_time(batch: DataFrame, last: DataFrame | None, ts: str) -> DataFrame:
-    """Rows after the last processed sample of their server; older ones came too late."""
-    if last is None:
-        return batch
-    seen = last.groupBy(SERVER).agg(F.max(ts).alias("__seen"))
-    return (
-        batch.join(seen, SERVER, "left")
-        .filter(F.col("__seen").isNull() | (F.col(ts) > F.col("__seen")))
-        .select(*batch.columns)
-    )
+    def newest(self) -> int | None:
+        """Number of the newest version."""
+        files, path = self._folder()
+        names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        return max((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), default=None)
+
+    def forget(self, batch_id: int) -> None:
+        """Drops what no micro-batch reads any more: one that is run again needs only the version before it."""
+        files, path = self._folder()
+        files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"batch={batch_id - 2}"), True)
+
+
+class Results:
+    """Results of a re-ordering stream: settled ones by micro-batch, and those that later rows may still change.
 
+    ``late`` holds rows that came after the look-back, by micro-batch; ``late.read().count()`` tells how many.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str):
+        self.settled, self.open = VersionedTable(spark, f"{root}/{name}"), VersionedTable(spark, f"{root}/open")
+        self.state, self.late = VersionedTable(spark, f"{root}/state"), VersionedTable(spark, f"{root}/late")
+        self.spark = spark
+
+    def read(self) -> DataFrame:
+        """Everything known so far: the settled results and the open ones of the newest micro-batch."""
+        newest = self.open.newest()
+        settled = self.settled.read()
+        return settled if newest is None else settled.unionByName(self.open.previous(newest + 1))
 
-def _start(stream: DataFrame, root: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
+
+def _reordered(batch: DataFrame, state: DataFrame | None, keys: list[str], order: list[str], delay: str) -> tuple[DataFrame, DataFrame]:
+    """Open rows of the state and the batch, and rows that came too late.
+
+    ``__cut``: the newest time of the key less ``delay``; ``__carried``: settled before, kept as a predecessor. A row is too
+    late if it is before the last settled row of its key in the full ``order``; a row of the same place is not.
+    """
+    fresh = batch.withColumn("__carried", F.lit(False))
+    late = batch.limit(0)
+    if state is not None:
+        place = F.struct(*order)
+        settled = state.filter("__carried").groupBy(*keys).agg(F.max(place).alias("__settled"))
+        judged = fresh.join(settled, keys, "left")
+        behind = F.col("__settled").isNotNull() & (place < F.col("__settled"))
+        late = judged.filter(behind).select(*batch.columns)
+        fresh = judged.filter(~behind).select(*batch.columns, "__carried").unionByName(state)
+    cut = fresh.groupBy(*keys).agg((F.max(order[0]) - F.expr(f"INTERVAL {delay}")).alias("__cut"))
+    return fresh.join(cut, keys), late
+
+
+def _start(stream: DataFrame, root: str, step: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(step)
         .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -108,54 +148,73 @@ def counter_delta_stream(
     keys: list[str] | None = None,
     order: list[str] | None = None,
     bucket: str = "hour",
-) -> tuple[StreamingQuery, VersionedTable]:
+    delay: str = LOOK_BACK,
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, Results]:
     """Counter increases as samples arrive; results are written below ``root``.
 
-    The carried table has one row per key: its last reading.
+    Rows may come in any order within ``delay`` of the newest row of their key: they are put in order before their
+    increases settle. Later ones go to ``late``. The carried table has the open rows and one settled row per key.
     """
     keys, order = keys or [SERVER], order or ["event_time_utc"]
-    spark = stream.sparkSession
-    last, out = VersionedTable(spark, f"{root}/last"), VersionedTable(spark, f"{root}/deltas")
+    out = Results(stream.sparkSession, root, "deltas")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        carried = last.previous(batch_id)
-        fresh = _on_time(batch, carried, order[0]).withColumn("__carried", F.lit(False))
-        if carried is not None:
-            fresh = fresh.unionByName(carried.withColumn("__carried", F.lit(True)))
-        deltas = counter_delta(fresh, value, keys, order, bucket=bucket)
-        out.write(deltas.filter(~F.col("__carried")).drop("__carried"), batch_id)
+        rows, late = _reordered(batch, out.state.previous(batch_id), keys, order, delay)
+        rows = rows.persist()
+        deltas = counter_delta(rows, value, keys, order, bucket=bucket).filter(~F.col("__carried"))
+        settled = F.col(order[0]) <= F.col("__cut")
+        out.settled.write(deltas.filter(settled).drop("__carried", "__cut"), batch_id)
+        out.open.write(deltas.filter(~settled).drop("__carried", "__cut"), batch_id)
+        out.late.write(late, batch_id)
         rest = [c for c in batch.columns if c not in keys]
-        newest = fresh.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__row"))
-        last.write(newest.select(*keys, "__row.*"), batch_id)
+        newest = rows.filter(settled).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+        carried = newest.select(*keys, "__row.*").withColumn("__carried", F.lit(True))
+        out.state.write(rows.filter(~settled).drop("__cut").unionByName(carried), batch_id)
+        rows.unpersist()
+        out.open.forget(batch_id)
+        out.state.forget(batch_id)
 
-    return _start(stream, root, step), out
+    return _start(stream, root, step, trigger), out
 
 
 def boundary_snapshot_stream(
-    stream: DataFrame, restarts: Callable[[], DataFrame], root: str, ts: str = "event_time_utc"
-) -> tuple[StreamingQuery, VersionedTable]:
+    stream: DataFrame,
+    restarts: Callable[[], DataFrame],
+    root: str,
+    ts: str = "event_time_utc",
+    delay: str = LOOK_BACK,
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, Results]:
     """Month and restart boundaries as samples arrive; results are written below ``root``.
 
-    ``restarts`` is called per micro-batch and returns the restart registry of that moment.
-    The carried table has the rows of each server's last sample.
+    ``restarts`` is called per micro-batch and returns the restart registry of that moment. A boundary settles once its
+    follower is older than ``delay``. The carried table has the open rows and all rows of each server's last settled
+    instant; rows of that instant may still come.
     """
-    spark = stream.sparkSession
-    last, out = VersionedTable(spark, f"{root}/last"), VersionedTable(spark, f"{root}/snapshots")
+    out = Results(stream.sparkSession, root, "snapshots")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        carried = last.previous(batch_id)
-        fresh = _on_time(batch, carried, ts)
-        if carried is not None:
-            fresh = fresh.unionByName(carried)
-        out.write(boundary_snapshots(fresh, restarts(), ts), batch_id)
-        newest = fresh.groupBy(SERVER).agg(F.max(ts).alias(ts))
-        last.write(fresh.join(newest, [SERVER, ts]).select(*batch.columns), batch_id)
-
-    return _start(stream, root, step), out
+        rows, late = _reordered(batch, out.state.previous(batch_id), [SERVER], [ts], delay)
+        rows = rows.persist()
+        last = rows.filter(F.col(ts) <= F.col("__cut")).groupBy(SERVER).agg(F.max(ts).alias("__last"))
+        found = boundary_snapshots(rows.select(*batch.columns), restarts(), ts).join(last, SERVER, "left")
+        settled = F.coalesce(F.col("snapshot_date_utc") < F.col("__last"), F.lit(False))
+        out.settled.write(found.filter(settled).drop("__last"), batch_id)
+        out.open.write(found.filter(~settled).drop("__last"), batch_id)
+        out.late.write(late, batch_id)
+        kept = rows.join(last, SERVER, "left").filter(F.col("__last").isNull() | (F.col(ts) >= F.col("__last")))
+        kept = kept.withColumn("__carried", F.coalesce(F.col(ts) == F.col("__last"), F.lit(False)))
+        out.state.write(kept.select(*batch.columns, "__carried"), batch_id)
+        rows.unpersist()
+        out.open.forget(batch_id)
+        out.state.forget(batch_id)
+
+    return _start(stream, root, step, trigger), out
 
 
 def publish_rollups(
-    stream: DataFrame, target: str, checkpoint: str, keys: list[str]
+    stream: DataFrame, target: str, checkpoint: str, keys: list[str], trigger: dict | None = None
 ) -> StreamingQuery:
     """Append rollup rows to a stored table, each key once and never again.
 
@@ -173,6 +232,6 @@ def publish_rollups(
     return (
         stream.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
