@@ -218,14 +218,14 @@ def drop_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ``length_col``, where given, gets the new number of characters.
     """
-    found = by_document(later_matches(docs, id_col, text_col))
+    found = by_document(later_matches(docs, id_col, text_col)).withColumnRenamed("removed", "__removed")
     joined = docs.join(found, docs[id_col] == found["__doc"], "left")
     parts = F.split(F.col(text_col), "\n")
-    left = F.filter(parts, lambda x, i: ~F.array_contains("removed", i))
-    joined = joined.where(F.col("removed").isNull() | (F.size(left) > 0))
-    joined = joined.withColumn(text_col, F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n")))
+    left = F.filter(parts, lambda x, i: ~F.array_contains("__removed", i))
+    joined = joined.where(F.col("__removed").isNull() | (F.size(left) > 0))
+    joined = joined.withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n")))
     if length_col:
-        joined = joined.withColumn(length_col, F.when(F.col("removed").isNull(), F.col(length_col)).otherwise(F.length(text_col).cast("long")))
+        joined = joined.withColumn(length_col, F.when(F.col("__removed").isNull(), F.col(length_col)).otherwise(F.length(text_col).cast("long")))
     return joined.select(*docs.columns)
 
 

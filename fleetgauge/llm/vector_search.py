@@ -41,19 +41,14 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
     for j in range(len(q)):
         bound = np.where(ids == query_ids[j], -np.inf, upper[j])
         best_s, best_i, done = np.empty(0, np.int64), np.empty(0, np.int64), 0
-        size = step
-        while done < len(ids):
-            size = min(size, len(ids))
-            order = np.argpartition(-bound, size - 1)[:size] if size < len(ids) else np.arange(len(ids))
-            order = order[np.argsort(-bound[order], kind="stable")][done:]
-            order = order[np.isfinite(bound[order])]
-            if not len(order):
-                break
+        ranked = np.argsort(-bound, kind="stable")[: int(np.isfinite(bound).sum())]
+        while done < len(ranked):
+            order = ranked[done : done + step]
             if len(best_s) == k and bound[order[0]] < best_s[-1]:
                 break
             s, i = np.concatenate([best_s, x[order] @ q[j]]), np.concatenate([best_i, ids[order]])
             top = np.lexsort((i, -s))[:k]
-            best_s, best_i, done, size = s[top], i[top], size, size * 4
+            best_s, best_i, done = s[top], i[top], done + step
         for column, values in zip(out, ([query_ids[j]] * len(best_s), best_i, best_s)):
             column.extend(values)
     return out
