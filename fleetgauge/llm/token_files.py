@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,9 +59,15 @@ class Encoder:
         return np.frombuffer(b"".join(map(self.memo.__getitem__, self.pieces(text))), np.uint16 if self.small else np.uint32).astype(np.int32)
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for each worker process: pieces that an earlier task met are remembered."""
+    return Encoder(path)
+
+
 def _encoded(path: str, end: int):
     def run(batches):
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             part, size, first = [], 0, 0
             texts = batch.column("__text").to_pylist()
