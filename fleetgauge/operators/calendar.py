@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.functions.semantics import MONTH, minutes_in_month, month_of
+from fleetgauge.functions.semantics import MONTH, SERVER, minutes_in_month, month_of
 
 
 def month_slice(
@@ -31,6 +31,18 @@ def month_slice(
     return kept
 
 
+def latest_collection(inventory: DataFrame, as_of: Column, ts: str = "collected_utc") -> DataFrame:
+    """The rows of each server's newest collection at or before ``as_of``.
+
+    Inventories (files, log segments, settings) are landed as a whole, again and again; a report counts one of them.
+    Servers may be collected at different times. A server without a collection by then has no rows. The newest times are
+    a map-side combined aggregate with one row per server; the inventory is not sorted.
+    """
+    known = inventory.filter(F.col(ts) <= as_of)
+    newest = known.groupBy(SERVER).agg(F.max(ts).alias(ts))
+    return known.join(newest, [SERVER, ts], "left_semi")
+
+
 def report_period(as_of: Column) -> dict[str, Column]:
     """The calendar month before ``as_of``: first day, last day, minutes."""
     start = F.add_months(month_of(as_of), -1)

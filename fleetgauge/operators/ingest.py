@@ -209,7 +209,8 @@ def file_latency(io_stats: DataFrame, files: DataFrame) -> DataFrame:
 def normalize_volumes(raw: DataFrame) -> DataFrame:
     """Raw volume rows to volume samples: real, lettered or mounted volumes, sizes in KB.
 
-    Halves round to even, as in the collector's language.
+    Halves round to even, as in the collector's language. A share that its type cannot hold (free space far above the
+    capacity) is NULL and stops nothing.
     """
     lettered = F.coalesce(F.col("drive_letter"), F.lit("")) != ""
     kept = raw.filter(
@@ -229,7 +230,7 @@ def normalize_volumes(raw: DataFrame) -> DataFrame:
     return (
         kept.withColumn("size_kb", kilobytes("capacity_bytes"))
         .withColumn("free_kb", kilobytes("free_bytes"))
-        .withColumn("percent_free", free_pct.cast("decimal(5,2)"))
+        .withColumn("percent_free", free_pct.try_cast("decimal(5,2)"))
         .select(
             *[c for c in raw.columns if c.startswith("event_time")],
             SERVER,
@@ -241,7 +242,7 @@ def normalize_volumes(raw: DataFrame) -> DataFrame:
             "free_kb",
             (F.col("size_kb") - F.col("free_kb")).alias("used_kb"),
             "percent_free",
-            (F.lit(100) - F.col("percent_free")).cast("decimal(5,2)").alias("percent_used"),
+            (F.lit(100) - F.col("percent_free")).try_cast("decimal(5,2)").alias("percent_used"),
             F.col("block_size").alias("cluster_size_bytes"),
         )
     )

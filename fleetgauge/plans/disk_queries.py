@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from fleetgauge.operators import disk
-from fleetgauge.plans.checking import STAMPS, G, month, stamps
+from fleetgauge.operators.calendar import latest_collection
+from fleetgauge.plans.checking import AS_OF, STAMPS, G, month, stamp, stamps
 from fleetgauge.sources.bindings import binder, with_bindings
 
 
@@ -39,6 +40,9 @@ QUERIES = {
     ),
     "dk8_file_latency_monthly": _using(*_LATENCY)(disk.file_latency_monthly),
     "dk10_database_footprint": _using("files")(disk.database_footprint),
+    "dk10_database_footprint_collected": _using("file_collections")(
+        lambda f: disk.database_footprint(latest_collection(f, stamp(AS_OF)))
+    ),
     "dk11_log_segment_severity": _using("log_segments")(disk.log_segment_severity),
     "dk12_file_monthly": _using("file_latency_samples", "volume_samples", "files", "log_segments")(
         lambda l, v, f, s: disk.file_monthly(l, v, f, s, **stamps())
@@ -113,6 +117,10 @@ _FOOTPRINT = """footprint AS (
          cast(count(*) FILTER (WHERE type_desc = 'LOG') AS bigint) AS log_file_count,
          cast(sum(size_pages) * 8 AS bigint) AS total_database_size_kb
   FROM files GROUP BY server_name, database_id, database_name)"""
+_COLLECTED = f"""current_files AS (
+  SELECT * FROM file_collections JOIN (
+    SELECT server_name, max(collected_utc) AS collected_utc FROM file_collections
+    WHERE collected_utc <= TIMESTAMP '{AS_OF}' GROUP BY server_name) AS newest USING (server_name, collected_utc))"""
 _SEVERITY = """severity AS (
   SELECT server_name, database_name, cast(count(*) AS bigint) AS log_segment_count,
          CASE WHEN count(*) < 100 THEN 'Normal' WHEN count(*) < 500 THEN 'Warning' WHEN count(*) < 1000 THEN 'Severe'
@@ -145,6 +153,9 @@ ORACLE = {
     "dk7_drive_monthly": with_bindings(f"WITH {_ALL_DRIVES} SELECT * FROM drives"),
     "dk8_file_latency_monthly": with_bindings(f"WITH {_RESOLVED}, {_FILE} SELECT * FROM file_speed"),
     "dk10_database_footprint": with_bindings(f"WITH {_FOOTPRINT} SELECT * FROM footprint"),
+    "dk10_database_footprint_collected": with_bindings(
+        f"WITH {_COLLECTED}, {_FOOTPRINT.replace('FROM files', 'FROM current_files')} SELECT * FROM footprint"
+    ),
     "dk11_log_segment_severity": with_bindings(f"WITH {_SEVERITY} SELECT * FROM severity"),
     "dk12_file_monthly": with_bindings(f"WITH {_RESOLVED}, {_ALL_FILES} SELECT * FROM file_rows"),
     "dk12_disk_monthly": with_bindings(

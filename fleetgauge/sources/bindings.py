@@ -127,16 +127,25 @@ FROM lineitem GROUP BY l_suppkey % 3, l_suppkey % 10, l_linenumber
 """
 
 BINDINGS["files"] = """
-SELECT DISTINCT concat('srv-', cast(l_suppkey % 3 AS string)) AS server_name,
-       cast(l_suppkey % 10 AS int) AS database_id, l_linenumber AS file_id,
-       concat('db', cast(l_suppkey % 10 AS string)) AS database_name,
-       CASE WHEN l_linenumber = 2 THEN concat('D:', chr(92), 'Data', chr(92), 'db', cast(l_suppkey % 10 AS string), '.mdf')
-            ELSE concat(CASE WHEN l_linenumber = 1 THEN 'C:' ELSE 'D:' END, chr(92), 'f', cast(l_linenumber AS string)) END
+SELECT server_name, database_id, file_id, concat('db', cast(database_id AS string)) AS database_name,
+       CASE WHEN file_id = 2 THEN concat('D:', chr(92), 'Data', chr(92), 'db', cast(database_id AS string), '.mdf')
+            ELSE concat(CASE WHEN file_id = 1 THEN 'C:' ELSE 'D:' END, chr(92), 'f', cast(file_id AS string)) END
             AS physical_name,
-       CASE WHEN l_linenumber = 7 THEN 'LOG' ELSE 'ROWS' END AS type_desc,
-       cast(l_linenumber * 1000 AS bigint) AS size_pages, cast(l_linenumber * 10 AS bigint) AS growth_pages,
-       l_suppkey % 4 = 0 AS is_percent_growth
-FROM lineitem
+       CASE WHEN file_id = 7 THEN 'LOG' ELSE 'ROWS' END AS type_desc,
+       cast(file_id * 1000 AS bigint) AS size_pages, cast(file_id * 10 AS bigint) AS growth_pages, is_percent_growth
+FROM (SELECT concat('srv-', cast(l_suppkey % 3 AS string)) AS server_name, cast(l_suppkey % 10 AS int) AS database_id,
+             l_linenumber AS file_id, bool_or(l_suppkey % 4 = 0) AS is_percent_growth
+      FROM lineitem
+      GROUP BY concat('srv-', cast(l_suppkey % 3 AS string)), cast(l_suppkey % 10 AS int), l_linenumber) AS f
+"""
+
+BINDINGS["file_collections"] = f"""
+SELECT f.*, TIMESTAMP '2001-07-01 02:00:00' AS collected_utc FROM ({BINDINGS["files"]}) AS f WHERE file_id < 5
+UNION ALL
+SELECT f.*, CASE WHEN server_name = 'srv-0' THEN TIMESTAMP '2001-07-29 02:00:00' ELSE TIMESTAMP '2001-07-31 02:00:00' END
+FROM ({BINDINGS["files"]}) AS f
+UNION ALL
+SELECT f.*, TIMESTAMP '2001-08-02 02:00:00' FROM ({BINDINGS["files"]}) AS f WHERE file_id < 3
 """
 
 BINDINGS["log_segments"] = """

@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from fleetgauge.operators import calendar, disk, health
+from fleetgauge.operators import calendar, disk, health, ingest
 
 VOLUMES = (
     "server_name:string event_time_utc:string mount_path:string drive_type:string label:string is_mount_point:boolean "
@@ -210,3 +210,30 @@ def test_report_period(frame):
 def test_month_slice_is_half_open(frame):
     df = frame("event_time_utc:string", ("2024-01-31 23:59:59.999",), ("2024-02-01 00:00:00",), ("2024-02-29 23:59:59.999",), ("2024-03-01 00:00:00",))
     assert calendar.month_slice(df, date(2024, 2, 1), date(2024, 3, 1)).count() == 2
+
+
+def test_second_collection_of_an_inventory_does_not_double_its_counts(spark):
+    rows = [
+        ("a", 5, "d", "f1", "ROWS", 10, "2024-01-10 02:00:00"),
+        ("a", 5, "d", "f1", "ROWS", 30, "2024-01-31 02:00:00"),
+        ("a", 5, "d", "f2", "LOG", 20, "2024-01-31 02:00:00"),
+        ("a", 5, "d", "f1", "ROWS", 99, "2024-02-03 02:00:00"),
+        ("b", 5, "d", "f1", "ROWS", 40, "2024-01-12 02:00:00"),
+        ("c", 5, "d", "f1", "ROWS", 50, "2024-02-02 02:00:00"),
+    ]
+    schema = "server_name string, database_id int, database_name string, physical_name string, type_desc string, size_pages long, at string"
+    files = spark.createDataFrame(rows, schema).selectExpr("*", "cast(at AS timestamp_ntz) AS collected_utc")
+    as_of = F.lit("2024-02-01").cast("timestamp_ntz")
+    found = disk.database_footprint(calendar.latest_collection(files, as_of)).collect()
+    assert sorted((r.server_name, r.data_file_count, r.log_file_count, r.total_database_size_kb) for r in found) == [("a", 1, 1, 400), ("b", 1, 0, 320)]
+
+
+def test_free_space_far_above_capacity_does_not_stop_the_job(spark):
+    raw = spark.sql(
+        "SELECT 's' AS server_name, timestamp_ntz'2024-01-01 00:00:00' AS event_time_utc, 'C:' || chr(92) AS name, 'x' AS label, 'C:' AS drive_letter,"
+        " 'NTFS' AS file_system, 3 AS drive_type, capacity_bytes, 102400000L AS free_bytes, 4096L AS block_size"
+        " FROM VALUES (1024L), (204800000L) AS t(capacity_bytes)"
+    )
+    found = {r.size_kb: (r.percent_free, r.percent_used) for r in ingest.normalize_volumes(raw).collect()}
+    assert found[1] == (None, None)
+    assert [float(x) for x in found[200000]] == [50.0, 50.0]
