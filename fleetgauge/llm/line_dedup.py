@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,37 +16,60 @@ from fleetgauge.llm.common import Memo, materialize, table, words_of
 PERCENT = 90
 #: Shorter lines (distinct words) are left alone: a few words repeat by chance.
 MIN_WORDS = 5
-#: Token counts are kept by so many hash cells: a table of fixed size. Any order of tokens gives the exact result.
+#: Token counts (whole corpus) are kept by so many hash cells: a table of fixed size. Any order of tokens gives the exact result.
 CELLS = 1 << 18
 #: Tokens handled at a time, and lines of one token beyond which drawn lines are compared first.
 BLOCK, HEAVY, HEADS = 1 << 18, 32, 6
 #: Longs of the bitmap of a line.
 LONGS = 3
+#: Lines to verify whose numbers are broadcast by document.
+WANTED_LINES = 400_000
 
 
 def _memo() -> Memo:
     return Memo(lambda w: xxhash.xxh3_64_intdigest(w))
 
 
-def _blocks(batches, least: int, memo: Memo):
-    """Distinct tokens of lines, sorted by line and hash: ids, line numbers, line of each token, hashes."""
+def _counts(batches):
+    """Occurrences of tokens in whole texts, by hash cell."""
+    total = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        found = Counter()
+        for text in batch.column("__text").to_pylist():
+            found.update(words_of(text))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+        cell = (h & np.uint64(CELLS - 1)).astype(np.int64)
+        total += np.bincount(cell, np.fromiter(found.values(), np.float64, len(found)), CELLS).astype(np.int64)
+    cells = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=["cell", "n"])
+
+
+def _blocks(batches, least: int, memo: Memo, ranks: np.ndarray):
+    """Distinct tokens of lines, by line, rarity and hash: ids, line numbers, line of each token, hashes."""
     for batch in batches:
         ids, numbers, lengths, words = [], [], [], []
 
         def done():
             h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-            line = np.repeat(np.arange(len(ids)), lengths)
-            order = np.lexsort((h, line))
+            line = np.repeat(np.arange(len(ids), dtype=np.uint64), lengths)
+            rank = ranks[(h & np.uint64(CELLS - 1)).astype(np.int64)]
+            # one key of line, rank and upper hash bits sorts all; if it ties different hashes, all of them decide
+            if len(ids) < 1 << 24:
+                key = (line << np.uint64(40)) | (rank << np.uint64(22)) | (h >> np.uint64(42))
+                order = np.argsort(key)
+                tied = key[order[1:]] == key[order[:-1]]
+            if len(ids) >= 1 << 24 or (tied & (h[order[1:]] != h[order[:-1]])).any():
+                order = np.lexsort((h, rank, line))
             h, line = h[order], line[order]
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-            return np.array(ids, np.int64), np.array(numbers, np.int32), line[new], h[new]
+            return np.array(ids, np.int64), np.array(numbers, np.int32), line[new].astype(np.int64), h[new]
 
         for doc, text in zip(batch.column("__id").to_pylist(), batch.column("__text").to_pylist()):
             if doc is None or not text:
                 continue
-            for number, line in enumerate(text.split("\n")):
-                own = words_of(line)
+            for number, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")):
+                own = line.split()
                 if len(own) >= least:
                     ids.append(doc)
                     numbers.append(number)
@@ -57,43 +82,32 @@ def _blocks(batches, least: int, memo: Memo):
             yield done()
 
 
-def _counts(least: int):
-    def run(batches):
-        total = np.zeros(CELLS, np.int64)
-        for _, _, _, h in _blocks(batches, least, _memo()):
-            total += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "n"])
-
-    return run
-
-
 def _prefixes(least: int, percent: int, shared):
     """Lines with size, digest, bitmap and those tokens of their prefix that occur more than once in the corpus."""
 
     def run(batches):
         counts = shared.value
-        for ids, numbers, line, h in _blocks(batches, least, _memo()):
+        ranks = np.empty(CELLS, np.uint64)
+        ranks[np.argsort(counts, kind="stable")] = np.arange(CELLS, dtype=np.uint64)
+        for ids, numbers, line, h in _blocks(batches, least, _memo(), ranks):
             n = np.bincount(line, minlength=len(ids))
             ends = np.cumsum(n)
             starts = ends - n
             raw = memoryview(h.tobytes())
             digests = [xxhash.xxh3_128_digest(raw[8 * s : 8 * e]) for s, e in zip(starts.tolist(), ends.tolist())]
             digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            cell = (line * (64 * LONGS) + (h >> np.uint64(40)).astype(np.int64) % (64 * LONGS)).astype(np.int64)
-            odd = (np.bincount(cell, minlength=len(ids) * 64 * LONGS) & 1).astype(np.uint8).reshape(len(ids), -1)
-            bits = np.packbits(odd, axis=1).view(np.int64)
-            count = counts[(h & np.uint64(CELLS - 1)).astype(np.int64)]
-            order = np.lexsort((h, count, line))
+            place = (h >> np.uint64(40)) % np.uint64(64 * LONGS)
+            bit, part = np.uint64(1) << (place % np.uint64(64)), place // np.uint64(64)
+            bits = [np.bitwise_xor.reduceat(np.where(part == i, bit, np.uint64(0)), starts).view(np.int64) for i in range(LONGS)]
             at = np.arange(len(h)) - starts[line]
             taken = n - (percent * n + 99) // 100 + 1
-            keep = (at < taken[line]) & (count[order] > 1)
+            keep = (at < taken[line]) & (counts[(h & np.uint64(CELLS - 1)).astype(np.int64)] > 1)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(line[keep], minlength=len(ids)))]).astype(np.int32)
             use = n >= least
             columns = [
-                pa.array(ids), pa.array(numbers), pa.array(n), pa.array(np.ascontiguousarray(digest[:, 0])), pa.array(np.ascontiguousarray(digest[:, 1])),
-                *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(LONGS)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[order][keep].view(np.int64))),
+                pa.array(ids), pa.array(numbers), pa.array(n.astype(np.int32)), *(pa.array(np.ascontiguousarray(digest[:, i])) for i in range(2)),
+                *map(pa.array, bits),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(at[keep].astype(np.int32))),
             ]
             names = ["doc", "line", "n", "d1", "d2", *(f"b{i}" for i in range(LONGS)), "tokens", "places"]
@@ -162,29 +176,37 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    cells = slim.mapInArrow(_counts(least), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = slim.select("__text").mapInArrow(_counts, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     counts = np.zeros(CELLS, np.int64)
     counted = cells.toPandas()  # at most CELLS rows
     counts[counted["cell"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     shared = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
 
     bitmap = [f"b{i}" for i in range(LONGS)]
-    schema = f"doc long, line int, n long, d1 long, d2 long, {', '.join(f'{b} long' for b in bitmap)}, tokens array<long>, places array<int>"
+    schema = f"doc long, line int, n int, d1 long, d2 long, {', '.join(f'{b} long' for b in bitmap)}, tokens array<long>, places array<int>"
     lines = materialize(slim.mapInArrow(_prefixes(least, percent, shared), schema), "lines")
-    first = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("first"))
-    same = (F.col("doc") == F.col("first.doc")) & (F.col("line") == F.col("first.line"))
-    marked = lines.join(first, ["d1", "d2"])
-    copies = marked.where(~same).select("doc", "line")
-    sets = materialize(marked.where(same & (F.size("tokens") > 0)).select("doc", "line", "n", *bitmap, "tokens", "places"), "sets")
-    entries = sets.select("doc", "line", "n", *bitmap, F.explode(F.arrays_zip("tokens", "places")).alias("e")).select(
-        F.col("e.tokens").alias("token"), ((F.col("n") * 2**32) + F.col("e.places")).alias("size_place"), "doc", "line", *bitmap
+    # all that depends on the words alone is the same in every line of a set
+    rest = [F.first(c).alias(c) for c in ("n", *bitmap, "tokens", "places")]
+    grouped = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("f"), F.count("*").alias("copies"), *rest)
+    sets = materialize(grouped.select("d1", "d2", "f.doc", "f.line", "copies", "n", *bitmap, "tokens", "places"), "sets")
+    repeated = sets.where("copies > 1").select("d1", "d2", F.col("doc").alias("doc2"), F.col("line").alias("line2"))
+    copies = lines.join(repeated, ["d1", "d2"]).where("doc != doc2 or line != line2").select("doc", "line")
+
+    # a token that is in the prefix of one set only leads nowhere
+    frequent = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("lines")).where("lines > 1")
+    unfolded = sets.select("doc", "line", "n", *bitmap, F.explode(F.arrays_zip("tokens", "places")).alias("e")).select(
+        F.col("e.tokens").alias("token"), ((F.col("n").cast("long") * 2**32) + F.col("e.places")).alias("size_place"), "doc", "line", *bitmap
     )
+    entries = materialize(unfolded.join(frequent, "token"), "entries")
 
     def settled(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs, "pairs")
         ends = pairs.select("doc", "line").union(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line")))
-        wanted = ends.groupBy(F.col("doc").alias("__id")).agg(F.collect_set("line").alias("wanted"))
-        sets = slim.join(wanted, "__id").mapInArrow(_sets, "doc long, line int, words binary")
+        wanted = materialize(ends.groupBy(F.col("doc").alias("__id")).agg(F.collect_set("line").alias("wanted")), "wanted")
+        lines_wanted = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
+        if lines_wanted <= WANTED_LINES:  # some 10 MB at most; beyond that texts are shuffled by id
+            wanted = F.broadcast(wanted)
+        sets = materialize(slim.join(wanted, "__id").mapInArrow(_sets, "doc long, line int, words binary"), "words")
         s = sets.select("doc", "line", F.col("words").alias("s"))
         t = sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("t"))
         both = pairs.join(s, ["doc", "line"]).join(t, ["doc2", "line2"])
@@ -193,8 +215,7 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def ends(x: str, y: str) -> list[Column]:
         return [F.col(f"{x}.doc").alias("doc"), F.col(f"{x}.line").alias("line"), F.col(f"{y}.doc").alias("doc2"), F.col(f"{y}.line").alias("line2")]
 
-    heavy = entries.groupBy("token").count().where(f"count > {HEAVY}").select("token")
-    many = entries.join(heavy, "token")
+    many = entries.where(F.col("lines") > HEAVY)
     whole = F.struct("doc", "line", "size_place", *bitmap)
     rank = [F.min(whole).alias("h0")]
     rank += [F.min_by(whole, F.xxhash64("doc", "line", F.lit(k))).alias(f"h{k}") for k in range(1, HEADS)]
