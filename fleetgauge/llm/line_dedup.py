@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import Memo, materialize, table, words_of
+from fleetgauge.llm.common import materialize, table, words_of
 
 #: Lines match if 100 * |intersection| >= PERCENT * |union| of their sets of lower-case words.
 PERCENT = 90
@@ -26,10 +26,6 @@ LONGS = 3
 WANTED_LINES = 400_000
 
 
-def _memo() -> Memo:
-    return Memo(lambda w: xxhash.xxh3_64_intdigest(w))
-
-
 def _counts(batches):
     """Occurrences of tokens in whole texts, by hash cell."""
     total = np.zeros(CELLS, np.int64)
@@ -44,13 +40,13 @@ def _counts(batches):
     yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=["cell", "n"])
 
 
-def _blocks(batches, least: int, memo: Memo, ranks: np.ndarray):
+def _blocks(batches, least: int, ranks: np.ndarray):
     """Distinct tokens of lines, by line, rarity and hash: ids, line numbers, line of each token, hashes."""
     for batch in batches:
         ids, numbers, lengths, words = [], [], [], []
 
         def done():
-            h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
             line = np.repeat(np.arange(len(ids), dtype=np.uint64), lengths)
             rank = ranks[(h & np.uint64(CELLS - 1)).astype(np.int64)]
             # one key of line, rank and upper hash bits sorts all; if it ties different hashes, all of them decide
@@ -83,13 +79,17 @@ def _blocks(batches, least: int, memo: Memo, ranks: np.ndarray):
 
 
 def _prefixes(least: int, percent: int, shared):
-    """Lines with size, digest, bitmap and those tokens of their prefix that occur more than once in the corpus."""
+    """Lines with size, digest, bitmap and those tokens of their prefix that occur more than once in the corpus.
+
+    Tokens are the upper halves of their hashes: two words of equal half only make more candidates. Tokens that occur once
+    come first in the order, so those kept are the end of the prefix and their places follow from the line's size.
+    """
 
     def run(batches):
         counts = shared.value
         ranks = np.empty(CELLS, np.uint64)
         ranks[np.argsort(counts, kind="stable")] = np.arange(CELLS, dtype=np.uint64)
-        for ids, numbers, line, h in _blocks(batches, least, _memo(), ranks):
+        for ids, numbers, line, h in _blocks(batches, least, ranks):
             n = np.bincount(line, minlength=len(ids))
             ends = np.cumsum(n)
             starts = ends - n
@@ -107,24 +107,22 @@ def _prefixes(least: int, percent: int, shared):
             columns = [
                 pa.array(ids), pa.array(numbers), pa.array(n.astype(np.int32)), *(pa.array(np.ascontiguousarray(digest[:, i])) for i in range(2)),
                 *map(pa.array, bits),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(at[keep].astype(np.int32))),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array((h[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32))),
             ]
-            names = ["doc", "line", "n", "d1", "d2", *(f"b{i}" for i in range(LONGS)), "tokens", "places"]
+            names = ["doc", "line", "n", "d1", "d2", *(f"b{i}" for i in range(LONGS)), "tokens"]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(use))
 
     return run
 
 
 def _sets(batches):
-    memo = _memo()
     for batch in batches:
         docs, lines, sets = [], [], []
         for doc, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("__id", "__text", "wanted"))):
             parts = text.split("\n")
             for i in wanted:
                 if i < len(parts):
-                    own = {memo[w] for w in words_of(parts[i])}
+                    own = {xxhash.xxh3_64_intdigest(w) for w in words_of(parts[i])}
                     docs.append(doc)
                     lines.append(i)
                     sets.append(np.sort(np.fromiter(own, np.uint64, len(own))).tobytes())
@@ -148,8 +146,8 @@ def _may_match(x: str, y: str, percent: int) -> Column:
     """``y`` is earlier than ``x``, and sizes, places of the common token and bitmaps allow a match."""
 
     def c(side: str, name: str) -> Column:
-        packed = F.col(f"{side}.size_place")
-        return {"n": F.shiftright(packed, 32), "place": packed.bitwiseAND(F.lit(2**32 - 1))}.get(name, F.col(f"{side}.{name}"))
+        column = F.col(f"{side}.{name}")
+        return column.cast("long") if name == "n" else column
 
     sizes = c(x, "n") + c(y, "n")
     earlier = (c(y, "doc") < c(x, "doc")) | ((c(y, "doc") == c(x, "doc")) & (c(y, "line") < c(x, "line")))
@@ -183,20 +181,20 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
 
     bitmap = [f"b{i}" for i in range(LONGS)]
-    schema = f"doc long, line int, n int, d1 long, d2 long, {', '.join(f'{b} long' for b in bitmap)}, tokens array<long>, places array<int>"
+    schema = f"doc long, line int, n int, d1 long, d2 long, {', '.join(f'{b} long' for b in bitmap)}, tokens array<int>"
     lines = materialize(slim.mapInArrow(_prefixes(least, percent, shared), schema), "lines")
     # all that depends on the words alone is the same in every line of a set
-    rest = [F.first(c).alias(c) for c in ("n", *bitmap, "tokens", "places")]
+    rest = [F.first(c).alias(c) for c in ("n", *bitmap, "tokens")]
     grouped = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("f"), F.count("*").alias("copies"), *rest)
-    sets = materialize(grouped.select("d1", "d2", "f.doc", "f.line", "copies", "n", *bitmap, "tokens", "places"), "sets")
+    sets = materialize(grouped.select("d1", "d2", "f.doc", "f.line", "copies", "n", *bitmap, "tokens"), "sets")
     repeated = sets.where("copies > 1").select("d1", "d2", F.col("doc").alias("doc2"), F.col("line").alias("line2"))
     copies = lines.join(repeated, ["d1", "d2"]).where("doc != doc2 or line != line2").select("doc", "line")
 
     # a token that is in the prefix of one set only leads nowhere
     frequent = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("lines")).where("lines > 1")
-    unfolded = sets.select("doc", "line", "n", *bitmap, F.explode(F.arrays_zip("tokens", "places")).alias("e")).select(
-        F.col("e.tokens").alias("token"), ((F.col("n").cast("long") * 2**32) + F.col("e.places")).alias("size_place"), "doc", "line", *bitmap
-    )
+    prefix = F.col("n") - F.expr(f"({percent} * n + 99) div 100").cast("int") + 1
+    unfolded = sets.select("doc", "line", "n", *bitmap, (prefix - F.size("tokens")).alias("skipped"), F.posexplode("tokens").alias("at", "token"))
+    unfolded = unfolded.select("token", "n", (F.col("skipped") + F.col("at")).alias("place"), "doc", "line", *bitmap)
     entries = materialize(unfolded.join(frequent, "token"), "entries")
 
     def settled(pairs: DataFrame) -> DataFrame:
@@ -216,7 +214,7 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return [F.col(f"{x}.doc").alias("doc"), F.col(f"{x}.line").alias("line"), F.col(f"{y}.doc").alias("doc2"), F.col(f"{y}.line").alias("line2")]
 
     many = entries.where(F.col("lines") > HEAVY)
-    whole = F.struct("doc", "line", "size_place", *bitmap)
+    whole = F.struct("doc", "line", "n", "place", *bitmap)
     rank = [F.min(whole).alias("h0")]
     rank += [F.min_by(whole, F.xxhash64("doc", "line", F.lit(k))).alias(f"h{k}") for k in range(1, HEADS)]
     drawn = many.groupBy("token").agg(*rank).select("token", F.explode(F.array(*[f"h{k}" for k in range(HEADS)])).alias("h")).select("token", "h.*").distinct()
