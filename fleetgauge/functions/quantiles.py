@@ -65,7 +65,7 @@ def wide_percentiles(df: DataFrame, keys: list[str], value: str, percents: dict[
     per_name = ranked.groupBy(*keys, "__name", "__frac").agg(at("__lo").alias("__vlo"), at("__hi").alias("__vhi"))
     interpolated = int_div(
         F.col("__vlo") * 100 + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac"), F.lit(100)
-    ).cast("int")
+    ).cast("bigint")
     return per_name.groupBy(*keys).agg(
         *[F.max(F.when(F.col("__name") == n, interpolated)).alias(n) for n in percents]
     )

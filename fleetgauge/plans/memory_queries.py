@@ -46,8 +46,8 @@ _SQL["mm5_grant_stats"] = f"""SELECT {G}, {pct("count(*) FILTER (WHERE memory_gr
 FROM points GROUP BY {G}"""
 _SQL["mm6_page_life_stats"] = f"""SELECT {G}, {pct("count(*) FILTER (WHERE ple <= 600)", "count(ple)")} AS pct_ple_below_600,
        {pct("count(*) FILTER (WHERE ple <= 300)", "count(ple)")} AS pct_ple_below_300,
-       cast(trunc(round(quantile_cont(ple, 0.5), 6)) AS int) AS median_ple,
-       cast(trunc(round(quantile_cont(ple, 0.05), 6)) AS int) AS ple_5th_percentile
+       cast(trunc(round(quantile_cont(ple, 0.5), 6)) AS bigint) AS median_ple,
+       cast(trunc(round(quantile_cont(ple, 0.05), 6)) AS bigint) AS ple_5th_percentile
 FROM points GROUP BY {G}"""
 _SQL["mm7_hit_ratio_stats"] = f"""SELECT {G}, cast(round(avg(bchr), 4) AS decimal(10,4)) AS avg_bchr, min(bchr) AS min_bchr,
        {pct("count(*) FILTER (WHERE bchr < 95)", "count(bchr)")} AS pct_bchr_below_95

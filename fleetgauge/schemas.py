@@ -81,7 +81,7 @@ SCHEMAS: dict[str, str] = {
         f"{_ROLLUP}, expected_points int, collected_points bigint, accuracy_percent {_PCT}, "
         f"{_columns('decimal(10,4)', 'avg_steady_state_ratio min_steady_state_ratio')}, "
         f"{_columns(_PCT, 'pct_below_90pct_steady pct_with_grants_pending')}, max_grants_pending bigint, "
-        f"{_columns('int', 'median_ple ple_5th_percentile')}, {_columns(_PCT, 'pct_ple_below_600 pct_ple_below_300')}, "
+        f"{_columns('bigint', 'median_ple ple_5th_percentile')}, {_columns(_PCT, 'pct_ple_below_600 pct_ple_below_300')}, "
         f"avg_bchr decimal(10,4), min_bchr bigint, pct_bchr_below_95 {_PCT}, {_STAMPS}"
     ),
     "deadlock_monthly": (

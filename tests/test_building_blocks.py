@@ -78,3 +78,8 @@ def test_wide_percentiles_equal_brute_force(spark):
     assert set(got) == set(groups)
     for g, vs in groups.items():
         assert {n: got[g][n] for n in wanted} == {n: interpolated(vs, p) for n, p in wanted.items()}, g
+
+
+def test_wide_percentiles_take_values_beyond_32_bits(spark):
+    df = spark.createDataFrame([("a", 3_000_000_000)], "g string, v long")
+    assert wide_percentiles(df, ["g"], "v", {"p50": 50}).first().p50 == 3_000_000_000
