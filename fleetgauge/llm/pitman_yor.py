@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ EXACT = 24
 CONCENTRATION = 10.0
 #: Tokens of a block of documents, about.
 BLOCK_BYTES = 12 << 20
+#: Parts of the cells of a frequent word.
+SALTS = 16
 END_WORD = b"\x00"
 
 
@@ -71,7 +74,7 @@ def discount_of(ones: float, twos: float) -> float:
 class Contexts:
     """Restaurants of classes: one for each class before, all below one root; a bounded number of cells.
 
-    ``counts[u, k]``: how often class k follows class u. The root's customers are the tables of all contexts, its base is
+    ``counts[u, k]``: how many tables of words of class u serve a word of class k. The root's customers are the tables of all contexts, its base is
     uniform. ``predictive`` averages over the kept seatings.
     """
 
@@ -112,19 +115,30 @@ def class_of(top: dict[int, int]):
 
 
 def _distinct(batches_of_block: pa.Table) -> pa.Table:
-    """Distinct tokens of a block with their counts in its training documents and their class among endings."""
-    counts: dict[bytes, int] = {}
+    """Distinct tokens of a block with their counts in its training documents and their class among endings, and distinct
+    pairs of a token and the one ``after`` it with their training counts; ``held``: a held-out document has the pair."""
+    places: dict[bytes, int] = {END_WORD: 0}
+    found: tuple[list, list] = ([], [])
     texts, trains = batches_of_block.column("__text").to_pylist(), batches_of_block.column("train").to_pylist()
     for text, train in zip(texts, trains):
-        one = 1 if train else 0
-        for word in words_of(text):
-            counts[word] = counts.get(word, 0) + one
-        counts[END_WORD] = counts.get(END_WORD, 0) + one
-    block = batches_of_block.column("block")[0].as_py()
-    hashes = np.fromiter(map(token_hash, counts), np.uint64, len(counts)).view(np.int64)
-    find = class_of({})
-    columns = [np.full(len(counts), block), hashes, np.fromiter(counts.values(), np.int64, len(counts)), np.fromiter(map(find, counts), np.int64, len(counts))]
-    return pa.table([pa.array(c) for c in columns], names=["block", "token", "n", "ending"])
+        words = words_of(text)
+        at = np.zeros(len(words) + 2, np.int64)
+        at[1:-1] = np.fromiter((places.setdefault(w, len(places)) for w in words), np.int64, len(words))
+        found[bool(train)].append(at[:-1] << 32 | at[1:])
+    held, (trained, times) = np.unique(np.concatenate([*found[0], np.empty(0, np.int64)])), np.unique(np.concatenate([*found[1], np.empty(0, np.int64)]), return_counts=True)
+    pairs = np.union1d(held, trained)
+    n = np.zeros(len(pairs), np.int64)
+    n[np.searchsorted(pairs, trained)] = times
+    counts = np.bincount(pairs & 0xFFFFFFFF, n, len(places)).astype(np.int64)
+    hashes = np.fromiter(map(token_hash, places), np.uint64, len(places)).view(np.int64)
+    endings = np.fromiter(map(class_of({}), places), np.int64, len(places))
+    block, size = batches_of_block.column("block")[0].as_py(), len(places) + len(pairs)
+    columns = [
+        pa.array(np.full(size, block)), pa.array(np.concatenate([hashes, hashes[pairs >> 32]])),
+        pa.concat_arrays([pa.nulls(len(places), pa.int64()), pa.array(hashes[pairs & 0xFFFFFFFF])]), pa.array(np.concatenate([counts, n])),
+        pa.concat_arrays([pa.array(endings), pa.nulls(len(pairs), pa.int64())]), pa.concat_arrays([pa.nulls(len(places), pa.bool_()), pa.array(np.isin(pairs, held, assume_unique=True))]),
+    ]
+    return pa.table(columns, names=["block", "token", "after", "n", "ending", "held"])
 
 
 def _pairs(top: dict[int, int]):
@@ -146,55 +160,70 @@ def _pairs(top: dict[int, int]):
     return run
 
 
-def _seated(classes: np.ndarray, discount: float, sweep: int):
-    """Tables of every token of a class restaurant; ``classes``: tokens, customers and tables of each class."""
+def _cells_seated(between: np.ndarray, discount: float, sweep: int):
+    """Tables of the cells of word restaurants, whose base is class by class and token in its class."""
 
     def run(batches):
         for batch in batches:
-            token, k, n = (batch.column(c).to_numpy() for c in ("token", "class", "n"))
-            weight = (CONCENTRATION + discount * classes[k, 2]) / (classes[k, 0] + 1)
-            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(seat(token, n.astype(np.float64), weight, discount, sweep))], names=["class", "t"])
+            token, after, n, ku, kw, opened, inside = (batch.column(c).to_numpy() for c in ("token", "after", "n", "ku", "kw", "opened", "inside"))
+            weight = (CONCENTRATION + discount * opened) * between[ku, kw] * inside
+            t = seat(mix(token.view(np.uint64)) ^ after.view(np.uint64), n.astype(np.float64), weight, discount, sweep)
+            kept = batch.column("kept").to_numpy() + (t if sweep >= BURN_IN else 0)
+            columns = [*(batch.column(c) for c in ("token", "after", "n", "ku", "kw")), pa.array(t), pa.array(kept)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "after", "n", "ku", "kw", "t", "kept"])
 
     return run
 
 
-def _predicted(kept: list[np.ndarray], discount: float):
-    """log10 P(token | class), averaged over the kept seatings; a token not seen in training has the mass of new ones."""
+def _seated(classes: np.ndarray, discount: float, sweep: int):
+    """Tables of every token of a class restaurant; ``classes``: tokens, customers and tables of each class."""
 
     def run(batches):
         for batch in batches:
-            token, k, n = (batch.column(c).to_numpy() for c in ("token", "class", "n"))
-            total = np.zeros(len(token))
-            for sweep, classes in enumerate(kept):
-                weight = (CONCENTRATION + discount * classes[k, 2]) / (classes[k, 0] + 1)
-                t = seat(token, n.astype(np.float64), weight, discount, BURN_IN + sweep)
-                total += (np.maximum(n - discount * t, 0) + weight) / (CONCENTRATION + classes[k, 1])
-            columns = [batch.column("token"), batch.column("class"), batch.column("n"), pa.array(np.log10(total / max(len(kept), 1)))]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "class", "n", "inside"])
+            token, k, customers = (batch.column(c).to_numpy() for c in ("token", "class", "customers"))
+            weight = (CONCENTRATION + discount * classes[k, 2]) / (classes[k, 0] + 1)
+            t = pa.array(seat(token, customers, weight, discount, sweep))
+            yield pa.RecordBatch.from_arrays([*batch.columns, t], names=[*batch.schema.names, "t"])
 
     return run
 
 
-def _scored(between: np.ndarray, tokens: int, distinct: int):
-    """Scores of the documents of a block from the values of its distinct tokens."""
+def _scored(between: np.ndarray, discount: float, tokens: int, distinct: int):
+    """Scores of the documents of a block from the values of its distinct tokens and of its pairs seen more than once.
+
+    A pair without a value is in one training document of the block alone, once, or in no training document.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        paired = pa.compute.is_valid(right.column("after"))
+        pairs, right = right.filter(paired), right.filter(pa.compute.invert(paired))
         token = right.column("token").to_numpy().view(np.uint64)
-        k, n, inside = (right.column(c).to_numpy() for c in ("class", "n", "inside"))
+        k, n = (right.column(c).to_numpy() for c in ("class", "n"))
+        values = np.stack(right.column("values").to_numpy()).reshape(len(token), SAMPLES, 2) if len(token) else np.zeros((0, SAMPLES, 2))
         place = {t: i for i, t in enumerate(token.tolist())}
+        order = np.argsort(token)
+        ends = [order[np.searchsorted(token, pairs.column(c).to_numpy().view(np.uint64), sorter=order)] for c in ("token", "after")]
+        keys, seen = ends[0] << 32 | ends[1], pairs.column("seen").to_numpy()
+        order = np.argsort(keys)
+        keys, seen = np.append(keys[order], -1), np.append(seen[order], 0.0)
         memo = Memo(lambda w: place[token_hash(w)], 2_000_000)
         base = np.log10((n + 0.5) / (tokens + 0.5 * (distinct + 1)))
         rows: list[list] = [[], [], [], []]
         last = place.get(END)
-        for text in left.column("__text").to_pylist():
+        for text, train in zip(left.column("__text").to_pylist(), left.column("train").to_pylist()):
             words = words_of(text)
             at = np.empty(len(words) + 1, np.int64)
             at[:-1] = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
             at[-1] = last
-            classes = k[at]
-            before = np.concatenate([[k[last]], classes[:-1]])
-            values = (len(at), int((n[at] > 0).sum()), float(base[at].sum()), float(inside[at].sum() + between[before, classes].sum()))
-            for column, value in zip(rows, values):
+            before = np.concatenate([[last], at[:-1]])
+            key = before << 32 | at
+            i = np.searchsorted(keys[:-1], key)
+            own = np.where(keys[i] == key, seen[i], 1 - discount if train else 0.0)
+            p = own / (CONCENTRATION + n[before])
+            for sample in range(SAMPLES):
+                p += values[before, sample, 0] * between[sample, k[before], k[at]] * values[at, sample, 1] / SAMPLES
+            figures = (len(at), int((n[at] > 0).sum()), float(base[at].sum()), float(np.log10(p).sum()))
+            for column, value in zip(rows, figures):
                 column.append(value)
         columns = [left.column("doc_id"), left.column("held_out"), *(pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int64(), pa.float64(), pa.float64())))]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
@@ -202,19 +231,28 @@ def _scored(between: np.ndarray, tokens: int, distinct: int):
     return run
 
 
+def _met(cells: DataFrame, values: DataFrame, own: str, on: str, other: str) -> DataFrame:
+    """``cells`` with the columns of their token ``on``; cells of tokens that are a class of their own are dealt by a salt."""
+    salts = F.when(F.col("class") < OWN, F.array(*map(F.lit, range(SALTS)))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col(own) < OWN, F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    values = values.withColumn("__salt", F.explode(salts)).drop("class").withColumnRenamed("token", on)
+    return cells.withColumn("__salt", salt).join(values, [on, "__salt"]).drop("__salt")
+
+
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Base and model scores of every row of ``docs``, learnt from those with a CRC-32 of the id not in fold ``held``.
 
     Columns ``doc_id``, ``held_out``, ``n_tokens`` (words and one end), ``n_known``, ``train_tokens``, ``base_score``
-    (smoothed unigram) and ``score`` (log10 probability by the model). The model draws the class of the next token from
-    the restaurant of the class before it, whose base is a root restaurant that all contexts share, and the token from
-    the restaurant of its class, whose base is uniform over the class's tokens and one unknown token. Tables are seated
-    by Gibbs sweeps; predictive probabilities are averaged over the kept seatings. Perplexity of a set of documents:
-    10 ** (-sum(score) / sum(n_tokens)).
+    (smoothed unigram) and ``score`` (log10 probability by the model). Every word is a context of its own: the next token
+    comes from the restaurant of the word before it. Its tables are the customers of the parent level, which draws the
+    class of the next token from the restaurant of the class before it (below a root restaurant that all classes share)
+    and the token from the restaurant of its class, whose base is uniform over the class's tokens and one unknown token.
+    All levels are seated by the same Gibbs sweeps; predictive probabilities are averaged over the kept seatings.
+    Perplexity of a set of documents: 10 ** (-sum(score) / sum(n_tokens)).
 
-    Counts cover all training texts. Documents are dealt over blocks of bounded size; a block asks for its distinct
-    tokens only, so neither the vocabulary nor all occurrences travel whole. Frequent tokens are pre-aggregated in their
-    blocks. The class table has a fixed number of cells.
+    Counts cover all training texts and all pairs of words. Documents are dealt over blocks of bounded size; a block
+    counts and asks for its distinct tokens and pairs only. Pairs are grouped by both words and seated on the executors;
+    cells of frequent words are dealt by a salt. Only the parent's class table has a fixed number of cells.
 
     Null texts count as empty and have the end only. Rows with a null id are never held out. Repeated rows are counted
     and scored one by one. With no training rows every token is unknown. An empty table gives no rows; other columns are
@@ -227,43 +265,84 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     blocks = max(1, -(-size // block_bytes))
     text_block = F.pmod(F.xxhash64("doc_id", F.xxhash64("__text")), F.lit(blocks))
     blocked = slim.withColumns({"block": text_block, "train": ~F.col("held_out")})
-    asked = materialize(blocked.groupBy("block").applyInArrow(_distinct, "block long, token long, n long, ending long"), "block-tokens")
+    found = blocked.groupBy("block").applyInArrow(_distinct, "block long, token long, after long, n long, ending long, held boolean")
+    found = materialize(found, "block-tokens")
+    asked, asked_pairs = found.where("after IS NULL"), found.where("after IS NOT NULL")
     counted = asked.groupBy("token").agg(F.sum("n").alias("n"), F.min("ending").alias("ending"))
     counted = materialize(counted, "tokens")
     top = [r.token for r in counted.where("n > 0").orderBy(F.desc("n"), "token").limit(OWN).collect()]
     own = {t % 2**64: i for i, t in enumerate(top)}
-    totals = counted.where("n > 0").agg(
-        F.sum("n").alias("tokens"), F.count("*").alias("distinct"), F.count(F.when(F.col("n") == 1, 1)).alias("ones"), F.count(F.when(F.col("n") == 2, 1)).alias("twos")
-    ).first()
+    totals = counted.where("n > 0").agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
     tokens, distinct = int(totals["tokens"] or 0), int(totals["distinct"])
 
     counts = np.zeros(CLASSES * CLASSES, np.int64)
     pairs = slim.where(~F.col("held_out")).select("__text").mapInArrow(_pairs(own), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = pairs.toPandas()  # at most CLASSES * CLASSES rows
-    counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.int64)
-    between = np.log10(Contexts(counts.reshape(CLASSES, CLASSES)).predictive())
+    sent = pairs.toPandas()  # at most CLASSES * CLASSES rows
+    counts[sent["cell"].to_numpy(np.int64)] = sent["n"].to_numpy(np.int64)
 
-    top_rows = docs.sparkSession.createDataFrame([(t, i) for i, t in enumerate(top)], "token long, own int")
-    classed = counted.join(F.broadcast(top_rows), "token", "left").select("token", "n", F.coalesce("own", "ending").cast("long").alias("class"))
+    top_rows = F.broadcast(docs.sparkSession.createDataFrame([(t, i) for i, t in enumerate(top)], "token long, own int"))
+    classed = counted.join(top_rows, "token", "left").select("token", "n", F.coalesce("own", "ending").cast("long").alias("class"))
     classed = materialize(classed, "classed")
-    known = classed.where("n > 0")
-    stats = np.zeros((CLASSES, 3))
-    for k, v, n in known.groupBy("class").agg(F.count("*"), F.sum("n")).collect():  # one row for each class
-        stats[k] = (v, n, v)
-    discount = discount_of(totals["ones"], totals["twos"])
+    # a pair of one occurrence has one table; only those that another document asks for need an answer, none needs a seat
+    asks = F.sum((F.col("n") > 0).cast("int") + F.col("held").cast("int"))
+    grouped = asked_pairs.groupBy("token", "after").agg(F.sum("n").alias("n"), asks.alias("asks"))
+    grouped = materialize(grouped.where("n > 1 OR (n = 1 AND asks > 1)").select("token", "after", "n"), "pairs")
+    cells = grouped.where("n > 1")
+    for on, other, k in (("token", "after", "ku"), ("after", "token", "kw")):
+        cells = cells.join(top_rows.select(F.col("token").alias(on), F.coalesce("own", F.lit(0)).alias("__own")), on, "left").withColumn("__own", F.coalesce("__own", F.lit(OWN)))
+        cells = _met(cells, classed.select("token", "class", F.col("class").alias(k)), "__own", on, other).drop("__own")
+    cells = materialize(cells.select("token", "after", "n", "ku", "kw", F.lit(1.0).alias("t"), F.lit(0.0).alias("kept")), "cells")
+    repeated = cells.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") == 2, 1)).alias("twos")).first()
+    discount = discount_of(tokens - (repeated["n"] or 0), repeated["twos"])
+
+    # all cells of one occurrence have a table each, so tables are occurrences less the excess n - t of repeated cells
+    stats, inside_discount = np.zeros((CLASSES, 3)), 0.5
+    values = classed.withColumn("values", F.array().cast("array<double>"))
     kept = []
-    for sweep in range(BURN_IN + SAMPLES):
+    for sweep in range(-1, BURN_IN + SAMPLES):
+        if sweep >= 0:
+            u = values.select("token", "class", "opened")
+            w = values.select("token", "class", "inside")
+            base = _met(_met(cells, u, "ku", "token", "after"), w, "kw", "after", "token")
+            cells = base.mapInArrow(_cells_seated(between, discount, sweep), "token long, after long, n long, ku long, kw long, t double, kept double")
+            cells = materialize(cells, "cells")
+        excess, zero = F.col("n") - F.col("t"), F.lit(0.0)
+        ends = cells.select("token", excess.alias("eu"), zero.alias("ew")).union(cells.select("after", zero, excess))
+        ends = ends.groupBy("token").agg(F.sum("eu").alias("eu"), F.sum("ew").alias("ew"))
+        joined = values.select("token", "class", "n", "values").join(ends, "token", "left").select(
+            "token", "class", "n", "values", (F.col("n") - F.coalesce("eu", zero)).alias("opened"), (F.col("n") - F.coalesce("ew", zero)).alias("customers")
+        )
+        schema = "token long, class long, n long, values array<double>, opened double, customers double, t double"
+        seated = materialize(joined.mapInArrow(_seated(stats.copy(), inside_discount, max(sweep, 0)), schema), "seated")
+        once, twice = (F.count(F.when(F.col("customers") == i, 1)).alias(name) for i, name in ((1, "ones"), (2, "twos")))
+        sums = seated.where("n > 0").groupBy("class").agg(F.count("*").alias("v"), F.sum("customers").alias("c"), F.sum("t").alias("t"), once, twice).collect()  # one row for each class
+        for r in sums:
+            stats[r["class"]] = (r.v, r.c, r.t)
+        inside_discount = discount_of(sum(r.ones for r in sums), sum(r.twos for r in sums))
+        rows = F.broadcast(docs.sparkSession.createDataFrame([(k, *map(float, s)) for k, s in enumerate(stats)], "class long, kv double, kc double, kt double"))
+        new = (CONCENTRATION + inside_discount * F.col("kt")) / (F.col("kv") + 1)
+        inside = (F.greatest(F.col("customers") - inside_discount * F.col("t"), zero) + new) / (CONCENTRATION + F.col("kc"))
+        parent = (CONCENTRATION + discount * F.col("opened")) / (CONCENTRATION + F.col("n"))
+        values = seated.join(rows, "class").withColumn("inside", inside)
+        more = F.concat("values", F.array(parent, F.col("inside"))) if sweep >= BURN_IN else F.col("values")
+        values = values.select("token", "class", "n", "opened", "inside", more.alias("values"))
+
+        tables = counts.astype(np.float64)
+        for r in cells.groupBy("ku", "kw").agg(F.sum(excess).alias("e")).where("e > 0").toPandas().itertuples():  # at most CLASSES * CLASSES rows
+            tables[int(r.ku) * CLASSES + int(r.kw)] -= r.e
+        between = Contexts(tables.reshape(CLASSES, CLASSES)).predictive()
         if sweep >= BURN_IN:
-            kept.append(stats.copy())
-        if sweep == BURN_IN + SAMPLES - 1:
-            break
-        seated = known.mapInArrow(_seated(stats.copy(), discount, sweep), "class long, t double").groupBy("class").agg(F.sum("t").alias("t"))
-        for k, t in seated.collect():
-            stats[k, 2] = t
-    values = materialize(classed.mapInArrow(_predicted(kept, discount), "token long, class long, n long, inside double"), "predicted")
-    answers = asked.select("block", "token").join(values, "token")
+            kept.append(between)
+
+    seen = cells.select("token", "after", (F.col("n") - discount * F.col("kept") / SAMPLES).alias("seen"))
+    seen = seen.union(grouped.where("n = 1").select("token", "after", F.lit(1 - discount)))
+    none = F.lit(None)
+    answers = asked.select("block", "token").join(values, "token").select("block", "token", none.cast("long").alias("after"), "class", "n", "values", none.cast("double").alias("seen"))
+    answers = answers.union(
+        asked_pairs.select("block", "token", "after").join(seen, ["token", "after"]).select("block", "token", "after", none.cast("long"), none.cast("long"), none.cast("array<double>"), "seen")
+    )
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(between, tokens, distinct), schema)
+    scored = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(np.stack(kept), discount, tokens, distinct), schema)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 

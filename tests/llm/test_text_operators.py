@@ -176,6 +176,17 @@ def test_language_model(docs, none):
     assert pitman_yor.lm_scores(none).count() == 0
 
 
+def test_language_model_tells_rare_words_of_one_class_apart(spark):
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
+    free = iter([i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1])
+    rows = [(i, t) for i, t in zip(held, ("pa_end qa_end", "pa_end qb_end", "new_end qb_end"))]
+    rows += [(next(free), " ".join(f"w{j}" for j in range(400))) for _ in range(12)]
+    rows += [(next(free), f"p{x}_end q{x}_end") for x in "ab" for _ in range(8)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got, whole = ({r.doc_id: r.score for r in pitman_yor.lm_scores(table, block_bytes=b).collect()} for b in (2_000, 1 << 20))
+    assert got[held[0]] > got[held[1]] + 0.3 and got == pytest.approx(whole)
+
+
 def test_class_predictions_add_up_to_one():
     counts = np.random.default_rng(3).poisson(0.02, (pitman_yor.CLASSES,) * 2) * 40
     assert np.allclose(pitman_yor.Contexts(counts).predictive().sum(axis=1), 1)
