@@ -19,8 +19,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that match an earlier line; ``n_chars`` follows. Documents left without a line go."""
-    return line_dedup.drop_later_matches(docs, length_col="n_chars")
+    """Texts without lines that match an earlier line; ``n_chars`` follows. Documents left without a line go.
+
+    Lines of less than five distinct words stay, repeats included: in clean documents they repeat by chance.
+    """
+    return line_dedup.drop_later_matches(docs, length_col="n_chars", least=line_dedup.MIN_WORDS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from fleetgauge.llm.common import materialize, table, words_of
 
 #: Lines match if 100 * |intersection| >= PERCENT * |union| of their sets of lower-case words.
 PERCENT = 90
-#: Shorter lines (distinct words) are left alone: a few words repeat by chance.
+#: Floor of distinct words for callers that leave shorter lines alone, as a few words repeat by chance. The query has none.
 MIN_WORDS = 5
 #: Token counts (whole corpus) are kept by so many hash cells: a table of fixed size. Any order of tokens gives the exact result.
 CELLS = 1 << 18
@@ -101,7 +101,8 @@ def _prefixes(least: int, percent: int, shared):
             bits = [np.bitwise_xor.reduceat(np.where(part == i, bit, np.uint64(0)), starts).view(np.int64) for i in range(LONGS)]
             at = np.arange(len(h)) - starts[line]
             taken = n - (percent * n + 99) // 100 + 1
-            keep = (at < taken[line]) & (counts[(h & np.uint64(CELLS - 1)).astype(np.int64)] > 1)
+            # below this size one word more is too many: such a line matches equal sets alone, which are grouped by digest
+            keep = (at < taken[line]) & (100 * n >= percent * (n + 1))[line] & (counts[(h & np.uint64(CELLS - 1)).astype(np.int64)] > 1)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(line[keep], minlength=len(ids)))]).astype(np.int32)
             use = n >= least
             columns = [
@@ -232,12 +233,12 @@ def by_document(found: DataFrame) -> DataFrame:
     return found.groupBy(F.col("doc").alias("__doc")).agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
-def drop_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+def drop_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, least: int = MIN_WORDS) -> DataFrame:
     """Texts without the lines of ``later_matches``; rows that lose all their lines are dropped, all other rows stay.
 
     ``length_col``, where given, gets the new number of characters.
     """
-    found = by_document(later_matches(docs, id_col, text_col)).withColumnRenamed("removed", "__removed")
+    found = by_document(later_matches(docs, id_col, text_col, least=least)).withColumnRenamed("removed", "__removed")
     joined = docs.join(found, docs[id_col] == found["__doc"], "left")
     parts = F.split(F.col(text_col), "\n")
     left = F.filter(parts, lambda x, i: ~F.array_contains("__removed", i))
@@ -249,9 +250,9 @@ def drop_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: doc_id, n_lines, removed (line numbers from 0), n_removed."""
+    """Per document: doc_id, n_lines, removed (line numbers from 0), n_removed. All lines with a word are compared."""
     docs = table(spark, sf_dir, "documents")
-    found = by_document(later_matches(docs))
+    found = by_document(later_matches(docs, least=1))
     sizes = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return sizes.join(found, sizes["doc_id"] == found["__doc"], "left").select(

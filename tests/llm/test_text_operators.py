@@ -90,6 +90,13 @@ def test_line_dedup(docs, none):
     assert line_dedup.later_matches(none).count() == 0
 
 
+def test_line_dedup_query_removes_short_repeats(spark, tmp_path):
+    rows = [(1, "Home About\nx\n\na b c d e f g h i"), (2, "about home\n \na b c d e f g h i j"), (3, "a b c d " * 25 + "\nhome\nX x"), (4, "d c b a")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.removed for r in line_dedup.query(spark, str(tmp_path)).collect()}
+    assert got == {1: [], 2: [0, 2], 3: [2], 4: [0]}
+
+
 def test_quality_discriminant(spark, docs, none):
     labels = spark.createDataFrame([(i, int(i > 20)) for i in range(38)] + [(None, 1), (3, None)], "doc_id long, quality int")
     got = quality_qda.classify(docs, labels).collect()
