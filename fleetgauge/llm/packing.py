@@ -3,23 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import materialize, running_total, seeded_order, table
 from fleetgauge.llm.mixing import n_tokens
 
 BUCKETS, TOKEN_BUDGET, SEED = 8, 32_768, 11
-#: Lengths up to FINE have a histogram cell each; longer ones share a cell with lengths less than 1/64 longer. So the
-#: histogram has at most FINE + 64 * 50 cells, however long the texts are.
-FINE = 4_096
-
-
-def cell_of(length: Column) -> Column:
-    """Histogram cell of a length."""
-    power = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))) - 6
-    step = F.pow(F.lit(2.0), power)
-    return F.when(length <= FINE, length).otherwise((F.ceil(length / step) * step).cast("long"))
 
 
 def bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -66,7 +56,8 @@ def pack(
 
     Columns ``doc_id``, ``n_tokens`` (words and one end mark), ``bucket`` (from 0, by length), ``bucket_length`` (the
     length its rows are padded to), ``padding``, ``batch`` (from 0 in its bucket) and ``slot`` (place in the batch).
-    Bucket ends minimise the padding over the histogram of all lengths. A batch holds as many rows as fit into
+    Bucket ends minimise the padding over the exact histogram of all lengths: D distinct lengths take D * D / 2 tokens at
+    least, so the driver holds at most the square root of twice the tokens (100,000 for 5 billion). A batch holds as many rows as fit into
     ``token_budget`` padded tokens, one at least. Rows of a bucket are dealt in the order of an MD5 of seed and id; a
     bucket is cut into many ordered ranges, so it is never one task.
 
@@ -74,9 +65,8 @@ def pack(
     which slot is open where their lengths are equal too. An empty table gives no rows; other columns are ignored.
     """
     sized = materialize(docs.select(F.col(id_col).alias("doc_id"), (n_tokens(F.col(text_col)) + 1).alias("n_tokens")), "lengths")
-    histogram = sized.groupBy(cell_of(F.col("n_tokens")).alias("cell")).agg(F.count("*").alias("rows"), F.max("n_tokens").alias("top"))
-    cells = histogram.orderBy("cell").toPandas()  # a bounded number of cells
-    ends = bounds(cells["top"].to_numpy(np.float64), cells["rows"].to_numpy(np.float64), buckets)
+    cells = sized.groupBy("n_tokens").agg(F.count("*").alias("rows")).orderBy("n_tokens").toPandas()  # distinct lengths
+    ends = bounds(cells["n_tokens"].to_numpy(np.float64), cells["rows"].to_numpy(np.float64), buckets)
     if not ends:
         ends = [1]
     number, length = F.lit(len(ends) - 1), F.lit(ends[-1])

@@ -169,6 +169,13 @@ def test_packing(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_of_long_texts_is_exact(spark):
+    sizes = [8200, 8300, 8330, 9000, 9090, 12000, 12200, 16000]
+    rows = [(10 * i + j, "x " * (n - 1)) for i, n in enumerate(sizes) for j in range(2)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), buckets=8).collect()
+    assert sorted({r.bucket_length for r in got}) == sizes and sum(r.padding for r in got) == 0
+
+
 def test_language_model(docs, none):
     got = pitman_yor.lm_scores(docs, block_bytes=2_000).collect()
     rows = documents()
