@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["minhash", "packing", "line_dedup", "quality_qda", "quality_rules", "vector_search", "mixing", "token_files", "html_main_text", "pitman_yor", "repeated_windows"]
+_MODULES = ["minhash", "packing", "line_dedup", "quality_qda", "quality_rules", "vector_search", "mixing", "token_files", "html_main_text", "pitman_yor", "repeated_windows", "filter_audit", "source_divergence"]
 
 
 def _loaded():
