@@ -11,29 +11,31 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import mix, table
 
 #: Words of a window and words of the sequences among which its minimiser is chosen.
-WINDOW, GRAM = 20, 5
+WINDOW, GRAM = 20, 3
 #: Windows of one packed string at most; only repetitive texts have longer runs.
 RUN = 64
-#: A minimiser with so many packed strings (and more than a 2^17th of all) has its windows dealt out one by one.
+#: A minimiser with so many packed strings (and more than a 2^17th of all) has its windows dealt out one by one. Strings
+#: are counted by the upper half of the minimiser, so a rare one may be taken for a hot one, never the reverse.
 LEAST_HOT, HOT_SHARE = 4_096, 2**17
-#: Text that is packed at a time, words that are hashed at a time, raw bytes of a partition and buckets in it.
-BLOCK_BYTES, SLICE_WORDS, PARTITION_BYTES, BUCKETS = 8_000_000, 2**17, 64_000_000, 16
-#: Strings shorter than this are shipped as they are.
-LEAST_COMPRESSED = 2_048
+#: Text that is packed at a time, words that are hashed at a time, raw bytes of a partition, bundles and their buckets.
+BLOCK_BYTES, SLICE_WORDS, PARTITION_BYTES, BUNDLES, BUCKETS = 8_000_000, 2**17, 64_000_000, 2, 8
+#: Bundles shorter than this are shipped as they are; the others by this level of zstd.
+LEAST_COMPRESSED, LEVEL = 2_048, 6
 #: Base of the polynomial hash (an odd number) and the id that stands for a null id.
 BASE, NULL_ID = 0x9E3779B97F4A7C15 | 1, 2**63 - 1
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-_KEYS = "doc_id long, tag long"
-_PACKED = "bucket long, ids array<long>, tags array<long>, starts array<int>, windows array<int>, packed binary"
+_KEYS = "doc_id long, tag int"
+_PACKED = "bundle long, ids array<long>, tags array<int>, starts array<int>, counts array<int>, packed binary"
 
 
 @lru_cache(maxsize=1)
@@ -133,14 +135,18 @@ def _runs(part: pa.RecordBatch):
         yield data, begin, stop, hasher, least[at], rows[at], low + at - first[rows[at]], at, size
 
 
+def _upper(minimisers: np.ndarray) -> np.ndarray:
+    return (minimisers >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def count_minimisers(batches):
     """Packed strings of each minimiser, block by block."""
     for batch in batches:
         for part in _parts(batch):
             found = [run[4] for run in _runs(part)]
             if found:
-                keys, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["minimiser", "n"])
+                keys, n = np.unique(_upper(np.concatenate(found)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int32))], names=["minimiser", "n"])
 
 
 def later(hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray, content) -> np.ndarray:
@@ -185,25 +191,33 @@ def _lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Arr
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def _rows(bucket, ids, tags, starts, windows, offsets, packed) -> pa.RecordBatch:
+def _rows(bundle, ids, tags, starts, counts, offsets, packed) -> pa.RecordBatch:
+    """``counts`` are the strings of each bucket of a bundle or, in rows of marks, windows of each mark."""
+    own = np.arange(len(bundle) + 1) * (len(counts) // len(bundle))
     columns = [
-        pa.array(bucket, pa.int64()), _lists(ids, offsets, pa.int64()), _lists(tags, offsets, pa.int64()),
-        _lists(starts, offsets, pa.int32()), _lists(windows, offsets, pa.int32()), pa.array(packed, pa.binary()),
+        pa.array(bundle, pa.int64()), _lists(ids, offsets, pa.int64()), _lists(tags, offsets, pa.int32()),
+        _lists(starts, offsets, pa.int32()), _lists(counts, own, pa.int32()), pa.array(packed, pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "ids", "tags", "starts", "windows", "packed"])
+    return pa.RecordBatch.from_arrays(columns, names=["bundle", "ids", "tags", "starts", "counts", "packed"])
+
 
+def packer(bundles: int, hot: np.ndarray):
+    """Map step: one row for each block and bundle of buckets, with the strings of one bucket after the other.
 
-def packer(buckets: int, hot: np.ndarray):
-    """Map step: one row for each block and bucket, with its packed strings; hot minimisers' windows are dealt out singly.
+    Windows of hot minimisers are dealt out singly.
 
     Of equal strings in a block only the first is shipped; the windows of the others are known to start earlier there and
     go along as finished marks (rows without ``packed``).
     """
 
+    codec = None
+
     def pack(part: pa.RecordBatch):
+        nonlocal codec
+        codec = codec or pa.Codec("zstd", compression_level=LEVEL)
         columns = [[] for _ in range(6)]  # minimiser or window hash, hash of the string, row, start, windows, bytes
         for data, begin, stop, hasher, key, rows, starts, at, size in _runs(part):
-            single = np.isin(key, hot)
+            single = np.isin(_upper(key), hot)
             lone = np.repeat(np.flatnonzero(single), size[single])
             step = np.arange(len(lone)) - np.repeat(np.cumsum(size[single]) - size[single], size[single])
             plain = ~single
@@ -226,19 +240,22 @@ def packer(buckets: int, hot: np.ndarray):
         tags = part.column("tag").to_numpy(zero_copy_only=False)[rows]
         known = later(whole, ids, starts, strings.__getitem__)
         if known.any():
-            yield _rows([int(key[0] % np.uint64(buckets))], ids[known], tags[known], starts[known], n[known], [0, int(known.sum())], [None])
-        bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+            yield _rows([int(key[0] % np.uint64(bundles))], ids[known], tags[known], starts[known], n[known], [0, int(known.sum())], [None])
+        spread = mix(key)
+        bundle = (spread % np.uint64(bundles)).astype(np.int64)
+        place = bundle * BUCKETS + (spread // np.uint64(bundles) % np.uint64(BUCKETS)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
         order = order[~known[order]]
-        bucket = bucket[order]
-        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        bundle = bundle[order]
+        cuts = np.flatnonzero(np.concatenate([[True], bundle[1:] != bundle[:-1]]))
         bounds = np.append(cuts, len(order))
+        counts = np.bincount(place[order], minlength=bundles * BUCKETS).reshape(-1, BUCKETS)[bundle[cuts]].ravel()
         packed = []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            text = b"\n".join([strings[i] for i in order[a:b].tolist()])
+            text = b"\n".join([strings[i] for i in order[a:b].tolist()]) + b"\n"
             small = len(text) < LEAST_COMPRESSED
-            packed.append(b"0" + text if small else b"%d\n" % len(text) + pa.compress(text, "zstd", asbytes=True))
-        yield _rows(bucket[cuts], ids[order], tags[order], starts[order], n[order], bounds, packed)
+            packed.append(b"0" + text if small else b"%d\n" % len(text) + codec.compress(text, asbytes=True))
+        yield _rows(bundle[cuts], ids[order], tags[order], starts[order], counts, bounds, packed)
 
     def run(batches):
         for batch in batches:
@@ -257,7 +274,7 @@ def _unpacked(packed: bytes) -> bytes:
 
 def _marks(ids, tags, starts, windows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(tags, pa.int64()), pa.array(starts, pa.int32()), pa.array(windows, pa.int32())],
+        [pa.array(ids, pa.int64()), pa.array(tags, pa.int32()), pa.array(starts, pa.int32()), pa.array(windows, pa.int32())],
         names=["doc_id", "tag", "start", "windows"],
     )
 
@@ -283,40 +300,53 @@ def _bucket_marks(raw: bytes, ids: np.ndarray, tags: np.ndarray, starts: np.ndar
     return _marks(ids[string[head]], tags[string[head]], starts[string[head]] + offset[head], size)
 
 
-def find_repeats(batches):
-    """Reduce step over rows sorted by bucket: one bucket at a time is unpacked."""
-    held, bucket = [], None
+def _bundle_marks(held: list[dict]):
+    """Marks of a bundle, one bucket at a time: its strings of all blocks are put together."""
+    raw = [_unpacked(row["packed"].as_py()) for row in held]
+    arrays = [{name: row[name].values.to_numpy() for name in ("ids", "tags", "starts", "counts")} for row in held]
+    ends = []
+    for text, row in zip(raw, arrays):
+        lines = np.flatnonzero(np.frombuffer(text, np.uint8) == 10) + 1
+        ends.append((np.concatenate([[0], np.cumsum(row["counts"])]), np.concatenate([[0], lines])))
+    for bucket in range(BUCKETS):
+        texts, columns = [], ([], [], [])
+        for text, row, (strings, bytes_) in zip(raw, arrays, ends):
+            a, b = strings[bucket], strings[bucket + 1]
+            if a < b:
+                texts.append(text[bytes_[a] : bytes_[b]])
+                for column, name in zip(columns, ("ids", "tags", "starts")):
+                    column.append(row[name][a:b])
+        if texts:
+            ids, tags, starts = (np.concatenate(c) for c in columns)
+            if found := _bucket_marks(b"".join(texts), ids, tags, starts.astype(np.int64)):
+                yield found
 
-    def flush():
-        flat = lambda name: np.concatenate([r[name].values.to_numpy(zero_copy_only=False) for r in held])
-        raw = b"\n".join([_unpacked(r["packed"].as_py()) for r in held]) + b"\n"
-        return _bucket_marks(raw, flat("ids"), flat("tags"), flat("starts").astype(np.int64))
 
+def find_repeats(batches):
+    """Reduce step over rows sorted by bundle: one bundle at a time is unpacked."""
+    held, bundle = [], None
     for batch in batches:
         names = batch.schema.names
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i] for name in names}
             if not row["packed"].is_valid:
-                yield _marks(*(row[name].values for name in ("ids", "tags", "starts", "windows")))
+                yield _marks(*(row[name].values for name in ("ids", "tags", "starts", "counts")))
                 continue
-            if bucket is not None and row["bucket"].as_py() != bucket:
-                found, held = flush(), []
-                if found:
-                    yield found
-            bucket = row["bucket"].as_py()
+            if row["bundle"].as_py() != bundle:
+                yield from _bundle_marks(held)
+                held, bundle = [], row["bundle"].as_py()
             held.append(row)
-    if held and (found := flush()):
-        yield found
+    yield from _bundle_marks(held)
 
 
 def _keep_words(batches):
     """Texts without the marked words."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in _parts(whole)):
         offsets, data = _buffers(batch.column("text"))
         clean, ends, counts = words_in(offsets, data)
         first = np.concatenate([[0], np.cumsum(counts)])
         marks = batch.column("marks")
-        owner = np.repeat(np.arange(batch.num_rows), np.diff(marks.offsets.to_numpy()))
+        owner = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(marks).to_numpy())
         flat = marks.flatten()
         low = first[owner] + flat.field("start").to_numpy(zero_copy_only=False)
         high = low + flat.field("windows").to_numpy(zero_copy_only=False) + WINDOW - 1
@@ -342,6 +372,11 @@ def _closed(text: Column) -> Column:
     return F.encode(F.concat(F.coalesce(text, F.lit("")), F.lit("\n")), "UTF-8")
 
 
+def _tag(text: Column) -> Column:
+    """Tells rows of one id apart by their text."""
+    return F.hash(text, F.lit("tag"))
+
+
 def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``kept_text`` (kept words joined by one space) of every row of ``docs``.
 
@@ -359,20 +394,20 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     spark = docs.sparkSession
     ids, text = F.col(id_col).cast("long"), F.col(text_col)
-    rows = docs.select(F.coalesce(ids, F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("tag"), _closed(text).alias("text"))
-    counts = rows.select("text").mapInArrow(count_minimisers, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.coalesce(ids, F.lit(NULL_ID)).alias("doc_id"), _tag(text).alias("tag"), _closed(text).alias("text"))
+    counts = rows.select("text").mapInArrow(count_minimisers, "minimiser int, n int").groupBy("minimiser").agg(F.sum("n").alias("n"))
     # a string of n windows is about three times as long as the words it stands for; 190 bytes are the usual length
     counts = counts.persist()
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.where(F.col("n") >= max(LEAST_HOT, total // HOT_SHARE)).select("minimiser").toArrow()  # 2^17 rows at most
     counts.unpersist()
-    hot = np.sort(found.column("minimiser").to_numpy().astype(np.int64).view(np.uint64))
+    hot = found.column("minimiser").to_numpy()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total * 190 // PARTITION_BYTES)
-    packed = rows.mapInArrow(packer(parts * BUCKETS, hot), _PACKED)
-    dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    packed = rows.mapInArrow(packer(parts * BUNDLES, hot), _PACKED)
+    dealt = packed.repartition(parts, "bundle").sortWithinPartitions("bundle")
     marks = dealt.mapInArrow(find_repeats, f"{_KEYS}, start int, windows int")
     marks = marks.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
-    texts = docs.select(ids.alias("doc_id"), _closed(text).alias("text"), F.xxhash64(text).alias("__tag")).alias("t")
+    texts = docs.select(ids.alias("doc_id"), _closed(text).alias("text"), _tag(text).alias("__tag")).alias("t")
     joined = texts.join(
         marks.alias("m"), (F.coalesce("t.doc_id", F.lit(NULL_ID)) == F.col("m.doc_id")) & (F.col("t.__tag") == F.col("m.tag")), "left"
     ).select("t.doc_id", "t.text", F.coalesce("m.marks", F.array().cast("array<struct<start:int,windows:int>>")).alias("marks"))
