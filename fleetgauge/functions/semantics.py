@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SERVER = "server_name"
@@ -18,6 +18,23 @@ GROUP = [SERVER, MONTH]
 PERCENT = "decimal(18,2)"
 
 
+def scope(df: DataFrame, *others: DataFrame) -> list[str]:
+    """What the facts of ``df`` belong to, and the columns others meet them by: the server, and the month if there is one.
+
+    A table without months holds for all months of ``df``; the reverse would multiply rows and is refused.
+    """
+    if MONTH in df.columns:
+        return [SERVER, MONTH] if all(MONTH in d.columns for d in others) else [SERVER]
+    if any(MONTH in d.columns for d in others):
+        raise ValueError("a table by month needs the other one by month")
+    return [SERVER]
+
+
+def row_total(df: DataFrame) -> Column:
+    """Rows of a group. Inventories by month hold equal rows once, with their number."""
+    return F.sum("row_count").cast("bigint") if "row_count" in df.columns else F.count(F.lit(1))
+
+
 def month_of(ts: Column | str) -> Column:
     """First day of the month of ``ts`` (a date)."""
     return F.trunc(ts, "MM")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.functions.semantics import GROUP, MONTH, SERVER, choose, int_avg, int_div, month_of
+from fleetgauge.functions.semantics import GROUP, MONTH, SERVER, choose, int_avg, int_div, month_of, row_total, scope
 
 DRIVE = [*GROUP, "mount_path"]
 OPTICAL = "CD-ROM"
@@ -152,22 +152,25 @@ def file_latency_monthly(latency: DataFrame, mounts: DataFrame, compat: bool = F
 
 
 def last_sample(volumes: DataFrame) -> DataFrame:
-    """Free space at the last sample of the month; samples at that same instant all stay."""
-    keyed = volumes.withColumn(MONTH, month_of("event_time_utc"))
-    latest = keyed.groupBy(*DRIVE).agg(F.max("event_time_utc").alias("event_time_utc"))
-    return keyed.join(latest, [*DRIVE, "event_time_utc"]).select(
-        *DRIVE,
-        F.col("free_kb").alias("rollup_free_space_kb"),
-        F.col("percent_free").alias("rollup_percent_free"),
+    """Free space at the last sample of the month; samples at that same instant all stay.
+
+    A rank that is cut at one: each task passes on the rows of its own last instant per drive, so one read of the samples
+    is enough and next to nothing is shuffled, however many samples a drive has.
+    """
+    newest = F.rank().over(Window.partitionBy(*DRIVE).orderBy(F.desc("event_time_utc")))
+    return (
+        volumes.withColumn(MONTH, month_of("event_time_utc"))
+        .withColumn("__rank", newest)
+        .filter("__rank = 1")
+        .select(*DRIVE, F.col("free_kb").alias("rollup_free_space_kb"), F.col("percent_free").alias("rollup_percent_free"))
     )
 
 
 def _drive_state(volumes: DataFrame) -> DataFrame:
-    """Space figures with first/last used space and the time of the last sample, in one pass.
+    """Space figures with first and last used space, in one pass.
 
     Samples are reduced per (drive, type, label, mount flag); the window then only sees those
-    few variants of one drive. Optical drives are left out of the figures, but not of the
-    search for the last sample.
+    few variants of one drive. Optical drives are left out of the figures.
     """
     used = F.struct("event_time_utc", "used_kb")
     keyed = volumes.withColumn(MONTH, month_of("event_time_utc"))
@@ -180,7 +183,6 @@ def _drive_state(volumes: DataFrame) -> DataFrame:
             {
                 "first_used_kb": F.min(F.when(spinning, F.col("__lo"))).over(per_drive)["used_kb"],
                 "last_used_kb": F.max(F.when(spinning, F.col("__hi"))).over(per_drive)["used_kb"],
-                "event_time_utc": F.max(F.col("__hi.event_time_utc")).over(per_drive),
             }
         )
         .filter(spinning)
@@ -199,23 +201,14 @@ def drive_monthly(
     """The drive row: space, growth, latency of the files on it, state at month end.
 
     ``mounts`` are the known mount paths of all history, by default those of ``volumes``.
-    The state at month end comes from a second look at the samples, joined on drive and last
-    sample time.
+    The state at month end has the rows of each drive's last instant (see ``last_sample``).
     """
     growth = drive_growth(F.col("first_used_kb"), F.col("last_used_kb"))
     speed = mount_latency(latency, volumes if mounts is None else mounts, compat)
-    month_end = volumes.select(
-        SERVER,
-        month_of("event_time_utc").alias(MONTH),
-        "mount_path",
-        "event_time_utc",
-        F.col("free_kb").alias("rollup_free_space_kb"),
-        F.col("percent_free").alias("rollup_percent_free"),
-    )
     return (
         _drive_state(volumes)
         .join(speed.withColumn("is_sql_disk", F.lit(True)), DRIVE, "left")
-        .join(month_end, [*DRIVE, "event_time_utc"], "left")
+        .join(last_sample(volumes), DRIVE, "left")
         .select(
             *GROUP,
             F.lit("Drive").alias("rollup_type"),
@@ -235,7 +228,7 @@ def drive_monthly(
 def file_inventory(files: DataFrame) -> DataFrame:
     """File sizes and growth steps in KB, file type and drive."""
     return files.select(
-        SERVER,
+        *scope(files),
         "database_name",
         "physical_name",
         F.col("type_desc").alias("file_type"),
@@ -247,7 +240,7 @@ def file_inventory(files: DataFrame) -> DataFrame:
 
 def database_footprint(files: DataFrame) -> DataFrame:
     """Data files, log files and total size per database."""
-    return files.groupBy(SERVER, "database_id", "database_name").agg(
+    return files.groupBy(*scope(files), "database_id", "database_name").agg(
         F.count_if(F.col("type_desc") == "ROWS").alias("data_file_count"),
         F.count_if(F.col("type_desc") == "LOG").alias("log_file_count"),
         (F.sum("size_pages") * PAGE_KB).alias("total_database_size_kb"),
@@ -258,8 +251,8 @@ def log_segment_severity(log_segments: DataFrame) -> DataFrame:
     """Log segments per database and the severity band of that count."""
     n = F.col("log_segment_count")
     return (
-        log_segments.groupBy(SERVER, "database_name")
-        .agg(F.count(F.lit(1)).alias("log_segment_count"))
+        log_segments.groupBy(*scope(log_segments), "database_name")
+        .agg(row_total(log_segments).alias("log_segment_count"))
         .withColumn("log_segment_severity", choose([(n < top, name) for top, name in SEGMENT_BANDS], SEGMENT_WORST))
     )
 
@@ -273,13 +266,16 @@ def file_monthly(
     generated_local: Column,
     compat: bool = False,
 ) -> DataFrame:
-    """The database-file row: latency with inventory, footprint and log-segment severity."""
-    database = [SERVER, "database_name"]
+    """The database-file row: latency with inventory, footprint and log-segment severity.
+
+    ``files`` and ``log_segments`` are one collection each, or given by month (see ``inventory.by_month``); each month then
+    gets its own state.
+    """
     return (
         file_latency_monthly(latency, mounts, compat)
-        .join(file_inventory(files), [*database, "physical_name"], "left")
-        .join(database_footprint(files).drop("database_id"), database, "left")
-        .join(log_segment_severity(log_segments), database, "left")
+        .join(file_inventory(files), [*scope(files), "database_name", "physical_name"], "left")
+        .join(database_footprint(files).drop("database_id"), [*scope(files), "database_name"], "left")
+        .join(log_segment_severity(log_segments), [*scope(log_segments), "database_name"], "left")
         .select(
             *GROUP,
             F.lit("DatabaseFile").alias("rollup_type"),

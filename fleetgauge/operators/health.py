@@ -1,11 +1,15 @@
-"""Configuration and health facts per server and per database."""
+"""Configuration and health facts per server and per database.
+
+Inventories are tables of one collection, or given by month (``inventory.by_month``) with a ``rollup_month``; facts of the
+latter are per month, each from the state its month ended with.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.functions.semantics import MONTH, SERVER
+from fleetgauge.functions.semantics import MONTH, SERVER, month_of, row_total, scope, sum_where
 from fleetgauge.operators.disk import HIGH_SEGMENTS
 
 DEFAULT_INSTANCE = "MSSQLSERVER (Default Instance)"
@@ -58,14 +62,14 @@ def pivot_properties(properties: DataFrame, spec: dict[str, tuple[str, str]] | N
     def value(name: str, to: str) -> Column:
         return F.max(F.when(F.col("property_name") == name, F.col("property_value"))).try_cast(to)
 
-    return properties.groupBy(SERVER).agg(*[value(n, to).alias(c) for n, (c, to) in spec.items()])
+    return properties.groupBy(*scope(properties)).agg(*[value(n, to).alias(c) for n, (c, to) in spec.items()])
 
 
 def pivot_settings(configs: DataFrame) -> DataFrame:
     """The six named settings as columns."""
     return (
         configs.filter(F.col("name").isin(list(SETTING_COLUMNS)))
-        .groupBy(SERVER)
+        .groupBy(*scope(configs))
         .agg(
             *[F.max(F.when(F.col("name") == n, F.col("value").cast("int"))).alias(c) for n, c in SETTING_COLUMNS.items()]
         )
@@ -94,8 +98,9 @@ def derive_system_flags(properties: DataFrame, availability_groups: DataFrame |
     )
     if availability_groups is None:
         return derived.withColumn("is_ag_present", F.lit(False))
-    present = availability_groups.select(SERVER).distinct().withColumn("is_ag_present", F.lit(True))
-    return derived.join(present, SERVER, "left").withColumn("is_ag_present", _flag(F.col("is_ag_present")))
+    at = scope(properties, availability_groups)
+    present = availability_groups.select(*at).distinct().withColumn("is_ag_present", F.lit(True))
+    return derived.join(present, at, "left").withColumn("is_ag_present", _flag(F.col("is_ag_present")))
 
 
 def friendly_version(banner: Column) -> Column:
@@ -108,14 +113,18 @@ def scheduler_topology(schedulers: DataFrame) -> DataFrame:
     """Memory nodes in use and scheduler counts per server, hidden nodes left out."""
     status = F.col("status")
     online, offline = status == "VISIBLE ONLINE", status == "VISIBLE OFFLINE"
+
+    def number(cond: Column) -> Column:
+        return sum_where(cond, F.col("row_count")) if "row_count" in schedulers.columns else F.count_if(cond)
+
     return (
         schedulers.filter(F.col("parent_node_id") < SHARED_NODES_FROM)
-        .groupBy(SERVER)
+        .groupBy(*scope(schedulers))
         .agg(
             F.count_distinct("parent_node_id").cast("int").alias("numa_nodes"),
-            F.count_if(online).alias("online_cpu_count"),
-            F.count_if(offline).alias("offline_cpu_count"),
-            F.count_if(online | offline).alias("allocated_cpu_count"),
+            number(online).alias("online_cpu_count"),
+            number(offline).alias("offline_cpu_count"),
+            number(online | offline).alias("allocated_cpu_count"),
         )
     )
 
@@ -130,14 +139,19 @@ def system_health(
     properties: DataFrame,
     configs: DataFrame,
     schedulers: DataFrame,
-    month: Column,
+    month: Column | None = None,
     availability_groups: DataFrame | None = None,
 ) -> DataFrame:
-    """One row of configuration facts per server for the report month."""
+    """One row of configuration facts per server for the report month, or per server and month of ``properties``.
+
+    A table without months next to properties by month holds for all of them.
+    """
     facts = derive_system_flags(pivot_properties(properties), availability_groups)
+    month = F.col(MONTH) if MONTH in properties.columns else month
+    at, of = scope(properties, configs), scope(properties, schedulers)
     return (
-        facts.join(pivot_settings(configs), SERVER, "left")
-        .join(scheduler_topology(schedulers).select(SERVER, "numa_nodes"), SERVER, "left")
+        facts.join(pivot_settings(configs), at, "left")
+        .join(scheduler_topology(schedulers).select(*of, "numa_nodes"), of, "left")
         .select(
             month.alias(MONTH),
             SERVER,
@@ -162,7 +176,7 @@ def file_flags(files: DataFrame) -> DataFrame:
     """Per database: any data file that grows in percent, any file on the C: drive."""
     grows = (F.col("type_desc") == "ROWS") & F.col("is_percent_growth")
     on_c = F.col("physical_name").startswith("C:\\")
-    return files.groupBy(SERVER, "database_id").agg(
+    return files.groupBy(*scope(files), "database_id").agg(
         F.coalesce(F.bool_or(grows), F.lit(False)).alias("has_percent_autogrowth"),
         F.coalesce(F.bool_or(on_c), F.lit(False)).alias("has_files_on_c_disk"),
     )
@@ -174,19 +188,41 @@ def latest_backups(backups: DataFrame) -> DataFrame:
     def latest(kind: str) -> Column:
         return F.max(F.when(F.col("backup_type") == kind, F.col("backup_finish_ts")))
 
-    return backups.groupBy(SERVER, "database_name").agg(
+    return backups.groupBy(*scope(backups), "database_name").agg(
         latest("D").alias("last_full_backup"), latest("L").alias("last_log_backup")
     )
 
 
-def backup_staleness(databases: DataFrame, backups: DataFrame, as_of: Column) -> DataFrame:
+def latest_backups_by_month(databases: DataFrame, backups: DataFrame) -> DataFrame:
+    """Latest backups before the end of each month of ``databases``.
+
+    Backups shrink to one row per database and month; the months asked for are merged into them and a running maximum
+    over a database's few months does the as-of lookup.
+    """
+    key, kinds = [SERVER, "database_name"], ["last_full_backup", "last_log_backup"]
+    done = latest_backups(backups.withColumn(MONTH, month_of("backup_finish_ts"))).withColumn("__asked", F.lit(False))
+    asked = databases.select(*key, MONTH).distinct().withColumn("__asked", F.lit(True))
+    running = Window.partitionBy(*key).orderBy(MONTH).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    both = done.unionByName(asked, allowMissingColumns=True)
+    return both.withColumns({k: F.max(k).over(running) for k in kinds}).filter("__asked").drop("__asked")
+
+
+def backup_staleness(databases: DataFrame, backups: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Overdue flags: full backup older than 7 days or none; log backup older than 24 hours
-    or none, unless the recovery model keeps no log. The scratch database is never overdue."""
+    or none, unless the recovery model keeps no log. The scratch database is never overdue.
+
+    Databases by month are judged at the end of their month, by the backups known then.
+    """
+    if MONTH in databases.columns:
+        as_of = F.add_months(MONTH, 1).cast("timestamp_ntz")
+        latest = latest_backups_by_month(databases, backups)
+    else:
+        latest = latest_backups(backups)
     full, log = F.col("last_full_backup"), F.col("last_log_backup")
     exempt = F.col("database_name") == SCRATCH_DATABASE
     full_due = full.isNull() | (full < as_of - F.expr("INTERVAL 7 DAYS"))
     log_due = log.isNull() | (log < as_of - F.expr("INTERVAL 24 HOURS"))
-    return databases.join(latest_backups(backups), [SERVER, "database_name"], "left").withColumns(
+    return databases.join(latest, [*scope(databases), "database_name"], "left").withColumns(
         {
             "is_backup_overdue": ~exempt & full_due,
             "is_log_backup_overdue": ~exempt & (F.col("recovery_model") != "SIMPLE") & log_due,
@@ -199,8 +235,8 @@ def high_segment_flag(log_segments: DataFrame) -> DataFrame:
     n = F.col("log_segment_count")
     return (
         log_segments.filter(F.col("database_name") != SCRATCH_DATABASE)
-        .groupBy(SERVER, "database_name")
-        .agg(F.count(F.lit(1)).alias("log_segment_count"))
+        .groupBy(*scope(log_segments), "database_name")
+        .agg(row_total(log_segments).alias("log_segment_count"))
         .withColumn("has_high_segment_count", n > HIGH_SEGMENTS)
     )
 
@@ -208,7 +244,7 @@ def high_segment_flag(log_segments: DataFrame) -> DataFrame:
 def last_good_check(integrity_checks: DataFrame) -> DataFrame:
     """Last good integrity check; the never-checked sentinel and unreadable values are NULL."""
     text = F.nullif(F.col("last_known_good"), F.lit(NEVER_CHECKED))
-    return integrity_checks.groupBy(SERVER, "database_name").agg(
+    return integrity_checks.groupBy(*scope(integrity_checks), "database_name").agg(
         F.max(text.try_cast("timestamp_ntz")).alias("last_good_check")
     )
 
@@ -219,21 +255,23 @@ def database_health(
     log_segments: DataFrame,
     backups: DataFrame,
     integrity_checks: DataFrame,
-    month: Column,
-    as_of: Column,
+    month: Column | None = None,
+    as_of: Column | None = None,
 ) -> DataFrame:
-    """One row of flags and dates per database for the report month; no scratch database.
+    """One row of flags and dates per database for the report month, or per database and month of ``databases``; no
+    scratch database.
 
-    Each detail table is reduced to one row per database before it is joined.
+    Each detail table is reduced to one row per database before it is joined. One without months holds for all months.
     """
-    by_name = [SERVER, "database_name"]
+    month = F.col(MONTH) if MONTH in databases.columns else month
+    name = "database_name"
     kept = databases.filter(F.col("database_name") != SCRATCH_DATABASE)
     user_database = F.col("database_id") > LAST_SYSTEM_DATABASE_ID
     return (
         backup_staleness(kept, backups, as_of)
-        .join(file_flags(files), [SERVER, "database_id"], "left")
-        .join(high_segment_flag(log_segments), by_name, "left")
-        .join(last_good_check(integrity_checks), by_name, "left")
+        .join(file_flags(files), [*scope(databases, files), "database_id"], "left")
+        .join(high_segment_flag(log_segments), [*scope(databases, log_segments), name], "left")
+        .join(last_good_check(integrity_checks), [*scope(databases, integrity_checks), name], "left")
         .select(
             month.alias(MONTH),
             SERVER,

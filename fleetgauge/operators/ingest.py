@@ -78,29 +78,33 @@ START_OF_MONTH = "StartOfMonth"
 PRE_RESTART = "PreRestart"
 
 
-def ingest_scheduler_records(raw: DataFrame) -> DataFrame:
+def _shifted(clock: str) -> Column:
+    """The time of a record: ``clock``, which is the time of sampling, less the record's age in ticks."""
+    age_ms = F.col("now_tick_ms") - F.col("tick_ms")
+    return F.timestamp_add("MILLISECOND", -age_ms, F.col(clock)).cast("timestamp_ntz")
+
+
+def ingest_scheduler_records(raw: DataFrame, new_since: DataFrame | None = None) -> DataFrame:
     """Scheduler XML records to CPU samples; a missing XML node gives NULL, not 0.
 
     Each record is parsed once; the first node of a name counts. A record's age is the
     distance of its tick from the tick at sampling time. Local time is produced when the raw
-    rows carry ``sampled_at_local``.
+    rows carry ``sampled_at_local``. With a history in ``new_since``, records of minutes that it has are left out by
+    their ticks before the others are parsed.
     """
 
     def node(name: str) -> Column:
         return F.get(F.col(f"__xml.SchedulerMonitorEvent.SystemHealth.{name}"), F.lit(0)).try_cast("int")
 
-    age_ms = F.col("now_tick_ms") - F.col("tick_ms")
-
-    def shifted(clock: str) -> Column:
-        return F.timestamp_add("MILLISECOND", -age_ms, F.col(clock)).cast("timestamp_ntz")
-
     clocks = {"sampled_at_utc": "event_time_utc", "sampled_at_local": "event_time_local"}
+    if new_since is not None:
+        raw = append_new_minutes(raw.withColumn("event_time_utc", _shifted("sampled_at_utc")), new_since)
     return (
         raw.filter(F.col("ring_buffer_type") == SCHEDULER_MONITOR)
         .withColumn("__xml", F.from_xml("record", F.lit(RECORD_SCHEMA), {"rowTag": "Record"}))
         .select(
             SERVER,
-            *[shifted(c).alias(out) for c, out in clocks.items() if c in raw.columns],
+            *[_shifted(c).alias(out) for c, out in clocks.items() if c in raw.columns],
             node("ProcessUtilization").alias("sql_service"),
             node("SystemIdle").alias("idle_process"),
         )
@@ -310,12 +314,14 @@ def server_capacity(restarts: DataFrame, schedulers: DataFrame, as_of: Column) -
 def blocked_sessions(requests: DataFrame, databases: DataFrame) -> DataFrame:
     """Requests that wait for a blocker, with their database and the blocker's own command."""
     at = [c for c in requests.columns if c.startswith("event_time")]
+    named = requests.filter(F.col("blocking_session_id") != 0).select(SERVER, *at, "blocking_session_id").distinct()
+    # only sessions that block another are carried on: few of all requests
     blockers = requests.select(
         SERVER,
         *at,
         F.col("session_id").alias("blocking_session_id"),
         F.col("command").alias("blocking_command"),
-    )
+    ).join(named, [SERVER, *at, "blocking_session_id"], "left_semi")
     return (
         requests.filter(F.col("blocking_session_id") != 0)
         .join(databases.select(SERVER, "database_id", "database_name"), [SERVER, "database_id"])
@@ -379,20 +385,33 @@ def counter_delta(
     order: list[str] | None = None,
     out: str = "delta",
     bucket: str = "hour",
+    restarts: DataFrame | None = None,
 ) -> DataFrame:
     """Increase since the previous sample of a counter that may restart from zero.
 
     First sample 0; a drop means a reset, so the raw value is the increase.
+
+    With a restart registry, a counter that was restarted and has passed its old value again is seen as well: restart
+    marks are merged into the samples as readings of zero, so the first sample at or after a mark counts its raw value
+    (also a key's first sample, if the server's restart is known). Sums over a closed month are then the net of its
+    boundary snapshots. Marks go to every key of their server.
     """
     keys = keys or [SERVER]
     order = order or ["event_time_utc"]
     now, before = F.col(value), F.col("__before.v")
     step = F.when(before.isNull(), F.lit(0)).when(now < before, now).otherwise(now - before)
-    return (
-        with_previous(samples, keys, order, value, "__before", bucket)
-        .withColumn(out, step.cast("bigint"))
-        .drop("__before")
-    )
+    columns = samples.columns
+    if restarts is not None:
+        marks = restarts.select(SERVER, F.col("restart_ts").alias(order[0])).distinct()
+        if keys != [SERVER]:
+            marks = marks.join(samples.select(*keys).distinct(), SERVER)
+        marks = marks.withColumns({value: F.lit(0).cast(samples.schema[value].dataType), "__read": F.lit(False)})
+        samples = samples.withColumn("__read", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+        order = [order[0], "__read", *order[1:]]  # false first: a restart at the time of a sample comes before it
+    steps = with_previous(samples, keys, order, value, "__before", bucket)
+    if restarts is not None:
+        steps = steps.filter("__read")
+    return steps.withColumn(out, step.cast("bigint")).select(*columns, out)
 
 
 def boundary_marks(samples: DataFrame, restarts: DataFrame, ts: str = "event_time_utc") -> DataFrame:
@@ -446,14 +465,35 @@ def boundary_snapshots(samples: DataFrame, restarts: DataFrame, ts: str = "event
     )
 
 
+def advance_boundaries(
+    batch: DataFrame, carried: DataFrame | None, restarts: DataFrame, ts: str = "event_time_utc"
+) -> tuple[DataFrame, DataFrame]:
+    """Boundaries that newly landed samples decide, and what the next run has to know.
+
+    ``carried`` holds the rows of each server's last instant, whose follower was not known yet. Runs over any cut of a
+    history give the boundaries of one run over all of it, and none reads more than its own samples. Samples at or
+    before the last instant of their server were seen already and are left out, so a batch may be applied again. The rows
+    of one instant have to land together, and a restart has to be registered before the first sample after it.
+    """
+    if carried is not None:
+        last = carried.groupBy(SERVER).agg(F.max(ts).alias("__last"))
+        unseen = F.col("__last").isNull() | (F.col(ts) > F.col("__last"))
+        batch = batch.join(last, SERVER, "left").filter(unseen).select(*batch.columns).unionByName(carried)
+    newest = batch.groupBy(SERVER).agg(F.max(ts).alias(ts))
+    return boundary_snapshots(batch, restarts, ts), batch.join(newest, [SERVER, ts], "left_semi")
+
+
 def closed_months(boundaries: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Boundary rows of the months that are over for their server: those with a closing row, and with ``as_of`` only
-    months that ended by then. An open month has an opening row alone, whose net would be negative."""
-    month = F.col("rollup_month")
-    closed = boundaries.filter(F.col("snapshot_type") == END_OF_MONTH)
+    months that ended by then. An open month has an opening row alone, whose net would be negative.
+
+    The window runs over boundary rows, so the samples behind them are evaluated once.
+    """
+    over = F.col("snapshot_type") == END_OF_MONTH
     if as_of is not None:
-        closed = closed.filter(F.add_months(month, 1) <= as_of)
-    return boundaries.join(closed.select(SERVER, "rollup_month").distinct(), [SERVER, "rollup_month"], "left_semi")
+        over = over & (F.add_months("rollup_month", 1) <= as_of)
+    month = Window.partitionBy(SERVER, "rollup_month")
+    return boundaries.withColumn("__over", F.bool_or(over).over(month)).filter("__over").drop("__over")
 
 
 def append_missing_rollups(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

@@ -64,14 +64,7 @@ _MOM = f"""mom AS (
        AND p.rollup_month = cast(c.rollup_month - INTERVAL 1 MONTH AS date))"""
 
 _DB = f"{G}, database_id, database_name"
-ORACLE = {
-    "bk1_blocking_net": with_bindings(f"WITH {_NET} SELECT * FROM net"),
-    "bk2_instance_totals": with_bindings(f"WITH {_NET}, {_TOTALS} SELECT * FROM totals"),
-    "bk3_rank_within_instance": with_bindings(f"WITH {_NET}, {_RANKED} SELECT * FROM ranked"),
-    "bk5_blocking_shares": with_bindings(f"WITH {_NET}, {_TOTALS}, {_SHARES} SELECT * FROM shares"),
-    "bk6_blocking_mom": with_bindings(f"WITH {_NET}, {_MOM} SELECT * FROM mom"),
-    "bk7_blocking_monthly": with_bindings(
-        f"""WITH {_NET}, {_TOTALS}, {_RANKED}, {_SHARES}, {_MOM}
+MONTHLY = f"""{_TOTALS}, {_RANKED}, {_SHARES}, {_MOM}
 SELECT {_DB}, cast(s.row_lock_wait_seconds AS decimal(18,2)) AS row_lock_wait_seconds,
        cast(s.page_lock_wait_seconds AS decimal(18,2)) AS page_lock_wait_seconds,
        cast(cast(s.row_lock_wait_seconds AS decimal(18,2)) + cast(s.page_lock_wait_seconds AS decimal(18,2)) AS decimal(18,2))
@@ -83,5 +76,11 @@ SELECT {_DB}, cast(s.row_lock_wait_seconds AS decimal(18,2)) AS row_lock_wait_se
        mom_blocking_change_pct, mom_row_lock_change_pct, mom_page_lock_change_pct,
        TIMESTAMP '{GENERATED_UTC}' AS created_at_utc
 FROM shares AS s JOIN ranked USING ({_DB}) JOIN mom USING ({_DB})"""
-    ),
+ORACLE = {
+    "bk1_blocking_net": with_bindings(f"WITH {_NET} SELECT * FROM net"),
+    "bk2_instance_totals": with_bindings(f"WITH {_NET}, {_TOTALS} SELECT * FROM totals"),
+    "bk3_rank_within_instance": with_bindings(f"WITH {_NET}, {_RANKED} SELECT * FROM ranked"),
+    "bk5_blocking_shares": with_bindings(f"WITH {_NET}, {_TOTALS}, {_SHARES} SELECT * FROM shares"),
+    "bk6_blocking_mom": with_bindings(f"WITH {_NET}, {_MOM} SELECT * FROM mom"),
+    "bk7_blocking_monthly": with_bindings(f"WITH {_NET}, {MONTHLY}"),
 }

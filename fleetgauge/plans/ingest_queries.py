@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from fleetgauge.functions.semantics import month_of
 from fleetgauge.operators import blocking, calendar, ingest, waits
 from fleetgauge.plans.checking import G, month, stamp
 from fleetgauge.plans.deadlock_queries import delta_sql
@@ -30,11 +31,19 @@ def _new_wait_rollups(wait_boundaries, lock_wait_boundaries):
 
 def _new_minutes(strict: bool):
     def query(raw, history):
-        return ingest.append_new_minutes(ingest.ingest_scheduler_records(raw), history, strict=strict)
+        return ingest.append_new_minutes(ingest.ingest_scheduler_records(raw, history), None, strict=strict)
 
     return query
 
 
+def _closed_deltas(samples, restarts):
+    """Sums of differences by month, which have to be the nets of the boundary snapshots."""
+    deltas = ingest.counter_delta(samples, "value", bucket="month", restarts=restarts)
+    sums = deltas.groupBy("server_name", month_of("event_time_utc").alias("rollup_month")).agg(F.sum("delta").alias("value"))
+    closed = ingest.closed_months(ingest.boundary_marks(samples, restarts)).select("server_name", "rollup_month").distinct()
+    return sums.join(closed, ["server_name", "rollup_month"], "left_semi")
+
+
 QUERIES = {
     "in1_month_slice": _using("cumulative_samples")(lambda df: calendar.month_slice(df, *_SLICE)),
     "in2_scheduler_records": _using("raw_scheduler_records")(ingest.ingest_scheduler_records),
@@ -66,6 +75,10 @@ QUERIES = {
     "in13_counter_delta_history": _using("cumulative_samples")(
         lambda df: ingest.counter_delta(df, "value", bucket="month")
     ),
+    "in13_counter_delta_restarts": _using("cumulative_samples", "restarts")(
+        lambda df, r: ingest.counter_delta(df, "value", bucket="month", restarts=r)
+    ),
+    "in13_monthly_delta_sum": _using("cumulative_samples", "restarts")(_closed_deltas),
     "in14_boundary_snapshots": _using("cumulative_samples", "restarts")(ingest.boundary_snapshots),
     "in14_monthly_net": _using("cumulative_samples", "restarts")(
         lambda c, r: waits.boundary_net(ingest.closed_months(ingest.boundary_snapshots(c, r)), ["server_name", "rollup_month"], ["value"])
@@ -157,10 +170,11 @@ _CLASSIFIED = f"""SELECT server_name, total_server_time_seconds, wait_type, {_ca
 FROM raw_waits JOIN capacity USING (server_name)
 WHERE waiting_tasks_count > 0 AND wait_type NOT IN {_names(ingest.BENIGN_WAITS)}"""
 
-BOUNDARIES = f"""uptime AS (
+_UPTIME = """uptime AS (
   SELECT c.*, (SELECT max(r.restart_ts) FROM restarts AS r
                WHERE r.server_name = c.server_name AND r.restart_ts <= c.event_time_utc) AS u
-  FROM cumulative_samples AS c),
+  FROM cumulative_samples AS c)"""
+BOUNDARIES = f"""{_UPTIME},
 stepped AS (
   SELECT *, {month("event_time_utc")} AS own, lead({month("event_time_utc")}) OVER w AS opens, lead(u) OVER w AS next_u
   FROM uptime WINDOW w AS (PARTITION BY server_name ORDER BY event_time_utc)),
@@ -173,6 +187,10 @@ marked AS (
 boundaries AS (
   SELECT server_name, event_time_utc AS snapshot_date_utc, snapshot_type, rollup_month, epoch_id, value FROM marked)"""
 
+_NET = f"""WITH {BOUNDARIES}
+SELECT {G}, cast(sum(CASE WHEN snapshot_type = 'StartOfMonth' THEN -abs(value) ELSE value END) AS bigint) AS value
+FROM boundaries GROUP BY {G} HAVING count(CASE WHEN snapshot_type = 'EndOfMonth' THEN 1 END) > 0"""
+
 ORACLE = {
     "in1_month_slice": with_bindings(
         f"""SELECT * FROM cumulative_samples
@@ -230,11 +248,16 @@ WHERE NOT EXISTS (SELECT 1 FROM restart_registry AS g WHERE g.server_name = o.se
         f"SELECT * EXCLUDE (before) FROM ({delta_sql('value', 'event_time_utc', 'cumulative_samples')}) AS d"
     ),
     "in14_boundary_snapshots": with_bindings(f"WITH {BOUNDARIES} SELECT * FROM boundaries"),
-    "in14_monthly_net": with_bindings(
-        f"""WITH {BOUNDARIES}
-SELECT {G}, cast(sum(CASE WHEN snapshot_type = 'StartOfMonth' THEN -abs(value) ELSE value END) AS bigint) AS value
-FROM boundaries GROUP BY {G} HAVING count(CASE WHEN snapshot_type = 'EndOfMonth' THEN 1 END) > 0"""
+    "in13_counter_delta_restarts": with_bindings(
+        f"""WITH {_UPTIME}
+SELECT server_name, event_time_utc, epoch_id, value,
+       CASE WHEN u IS NOT NULL AND (last_time IS NULL OR last_time < u) THEN value WHEN last_time IS NULL THEN 0
+            WHEN value < last_value THEN value ELSE value - last_value END AS delta
+FROM (SELECT *, lag(value) OVER w AS last_value, lag(event_time_utc) OVER w AS last_time
+      FROM uptime WINDOW w AS (PARTITION BY server_name ORDER BY event_time_utc)) AS x"""
     ),
+    "in13_monthly_delta_sum": with_bindings(_NET),
+    "in14_monthly_net": with_bindings(_NET),
     "in15_append_missing_rollups": with_bindings(
         f"""WITH {_B} SELECT * FROM ({_SQL["wa4_category_pivot"]}) AS n
 WHERE NOT EXISTS (SELECT 1 FROM lock_wait_boundaries AS x

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from fleetgauge.functions.semantics import MONTH, SERVER, month_of
 from fleetgauge.operators.calendar import month_slice
-from fleetgauge.operators.ingest import append_missing_rollups, append_new_minutes
+from fleetgauge.operators.ingest import advance_boundaries, append_missing_rollups, append_new_minutes
+from fleetgauge.operators.inventory import FROM, ROWS, SEEN, TO, apply_collections, validity_intervals
+from fleetgauge.sources.commits import PublishedTable
 from fleetgauge.sources.tables import append_rollup, append_samples, stored_rollups
 
 Rollup = Callable[[DataFrame, DataFrame | None], DataFrame]
@@ -91,3 +93,46 @@ def roll_up(
         pending.withColumn("__month", month).join(groups, [SERVER, "__month"], "left_anti").select(*source.columns)
     )
     append_rollup(append_missing_rollups(build(pending, stored), done, keys), path)
+
+
+def snapshot_boundaries(
+    spark: SparkSession, batch: DataFrame, restarts: DataFrame, path: str, run: str | None = None, ts: str = "event_time_utc"
+) -> bool:
+    """Publish the month and restart boundaries that a batch of new samples decides (see ``advance_boundaries``).
+
+    Boundaries and the carried last rows are committed together. A run of the same name is not made twice, and a batch
+    that was applied under another name adds nothing.
+    """
+    return PublishedTable(spark, path).advance(lambda carried: advance_boundaries(batch, carried, restarts, ts), run)
+
+
+def record_collection(spark: SparkSession, batch: DataFrame, path: str, run: str | None = None, ts: str = "collected_utc") -> bool:
+    """Apply newly landed collections of an inventory to its stored validity intervals.
+
+    Closed intervals are published once and never read again; the open ones are the carried state. Servers that have no
+    open row keep one with the time of their last collection alone, so that an older one is not applied later.
+    """
+
+    def step(carried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        facts = [c for c in batch.columns if c != ts]
+        if carried is None:
+            changed = validity_intervals(batch, ts)
+        else:
+            changed = apply_collections(carried.filter(F.col(FROM).isNotNull()), batch, ts, last_run=carried)
+        seen = batch.select(SERVER, F.col(ts).alias(SEEN))
+        if carried is not None:
+            seen = seen.unionByName(carried.select(SERVER, SEEN))
+        runs = seen.groupBy(SERVER).agg(F.max(SEEN).alias(SEEN))
+        changed = changed.persist()
+        empty = changed.limit(0).select(*facts, ROWS, FROM, TO, SEEN)
+        still_open = changed.filter(F.col(TO).isNull())
+        return changed.filter(F.col(TO).isNotNull()), still_open.unionByName(empty.unionByName(runs, allowMissingColumns=True))
+
+    return PublishedTable(spark, path).advance(step, run)
+
+
+def stored_intervals(spark: SparkSession, path: str) -> DataFrame | None:
+    """All validity intervals recorded so far, closed and open ones."""
+    table = PublishedTable(spark, path)
+    closed, (carried, _) = table.read(), table.state()
+    return None if closed is None else closed.unionByName(carried.filter(F.col(FROM).isNotNull()))

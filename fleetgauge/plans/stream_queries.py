@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from fleetgauge.plans.ingest_queries import _minute
 from fleetgauge.plans.ingest_queries import ORACLE as INGEST
 from fleetgauge.plans.cpu_queries import ORACLE as CPU
 from fleetgauge.sources.bindings import bound, bound_stream, with_bindings
+from fleetgauge.sources.commits import PublishedTable
 from fleetgauge.sources.session import checkpoint_root
 from fleetgauge.streaming import jobs
 
@@ -47,9 +49,9 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _fresh_root(spark, "deltas")
-    stream = _landed_by_time(spark, bound(spark, sf_dir, "counter_resets"), root, "event_time_utc")
-    query, out = jobs.counter_delta_stream(stream, root, order=["event_time_utc", "sample_id"])
-    query.awaitTermination()
+    for stream in _landed_by_time(spark, bound(spark, sf_dir, "counter_resets"), root, "event_time_utc"):
+        query, out = jobs.counter_delta_stream(stream, root, order=["event_time_utc", "sample_id"])
+        query.awaitTermination()
     return out.read()
 
 
@@ -59,23 +61,35 @@ def _landed(spark: SparkSession, df: DataFrame, root: str) -> DataFrame:
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
 
 
-def _landed_by_time(spark: SparkSession, df: DataFrame, root: str, ts: str) -> DataFrame:
-    """The same in order of time, one landing after the other."""
-    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
-    if lo is None:
-        return _landed(spark, df, root)
-    step = (hi - lo) / 3
-    for i in range(3):
-        inside = (F.col(ts) >= F.lit(lo + i * step)) & ((F.col(ts) < F.lit(lo + (i + 1) * step)) if i < 2 else F.lit(True))
-        df.filter(inside).coalesce(1).write.mode("append").parquet(f"{root}/landed")
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+def _landed_by_time(spark: SparkSession, df: DataFrame, root: str, ts: str, slices: int = 3) -> Iterator[DataFrame]:
+    """The rows in order of time, one landing after the other: the stream over them, after each landing.
+
+    The table is derived and written once, in parallel, and dealt over the landings by time; a landing arrives as a whole
+    by a rename. The stream is a new query on the same checkpoint each time, as after a restart.
+    """
+    stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet
+    df.write.parquet(f"{root}/derived")
+    derived = spark.read.schema(df.schema).parquet(f"{root}/derived")
+    lo, hi = derived.agg(F.min(ts), F.max(ts)).first()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{root}/landed"))
+    if lo is not None:
+        edges = [lo + i * (hi - lo) / slices for i in range(1, slices)]
+        place = sum((F.when(F.col(ts) >= F.lit(edge), 1).otherwise(0) for edge in edges), F.lit(0))
+        derived.withColumn("__landing", place).write.partitionBy("__landing").parquet(f"{root}/staged")
+    for i in range(slices):
+        if files.exists(path(f"{root}/staged/__landing={i}")):
+            files.rename(path(f"{root}/staged/__landing={i}"), path(f"{root}/landed/{i}"))
+        yield stream(f"{root}/landed")
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _fresh_root(spark, "snapshots")
-    stream = _landed_by_time(spark, bound(spark, sf_dir, "cumulative_samples"), root, "event_time_utc")
-    query, out = jobs.boundary_snapshot_stream(stream, lambda: bound(spark, sf_dir, "restarts"), root)
-    query.awaitTermination()
+    bound(spark, sf_dir, "restarts").write.parquet(f"{root}/restarts")
+    for stream in _landed_by_time(spark, bound(spark, sf_dir, "cumulative_samples"), root, "event_time_utc"):
+        query, out = jobs.boundary_snapshot_stream(stream, lambda: spark.read.parquet(f"{root}/restarts"), root)
+        query.awaitTermination()
     return out.read()
 
 
@@ -86,7 +100,7 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _landed(spark, rollup.unionByName(rollup), root)
     keys = ["server_name", "rollup_month"]
     jobs.publish_rollups(stream, f"{root}/table", f"{root}/checkpoint", keys).awaitTermination()
-    return jobs.VersionedTable(spark, f"{root}/table").read()
+    return PublishedTable(spark, f"{root}/table").read()
 
 
 QUERIES = {

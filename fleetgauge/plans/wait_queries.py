@@ -98,8 +98,7 @@ ORACLE = {name: with_bindings(f"WITH {_B} {sql}") for name, sql in _SQL.items()}
 ORACLE["wa9_mom_pct"] = with_bindings(
     f"""WITH {_B}, {_PIVOTED}, trends AS (SELECT {G}, {", ".join(waits.TRENDS)} FROM pivoted) {_mom("trends")}"""
 )
-ORACLE["wa10_wait_monthly"] = with_bindings(
-    f"""WITH {_B}, {_PIVOTED}, top3 AS ({_SQL["wa6_top_k_wide"]}), peak AS ({_SQL["wa7_peak_hour"]}),
+MONTHLY = f"""{_PIVOTED}, top3 AS ({_SQL["wa6_top_k_wide"]}), peak AS ({_SQL["wa7_peak_hour"]}),
 lead AS ({_SQL["wa8_top_type"]}),
 plain AS (SELECT {G}, cast(sum(resource_seconds) AS decimal(18,2)) AS total_resource_seconds,
                  cast(sum(signal_seconds) AS decimal(18,2)) AS total_signal_seconds,
@@ -110,4 +109,5 @@ rollup_rows AS (SELECT * FROM plain JOIN pivoted USING ({G}) JOIN top3 USING ({G
                 LEFT JOIN peak USING ({G}) LEFT JOIN lead USING ({G})),
 full_rows AS ({_mom("rollup_rows")})
 SELECT *, TIMESTAMP '{GENERATED_UTC}' AS created_at_utc FROM full_rows"""
-)
+ORACLE["wa10_wait_monthly"] = with_bindings(f"WITH {_B}, {MONTHLY}")
+

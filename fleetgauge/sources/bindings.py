@@ -326,6 +326,84 @@ SELECT DISTINCT concat('srv-', cast(o_custkey % 3 AS string)) AS server_name,
 FROM orders
 """
 
+BINDINGS["collection_times"] = """
+SELECT concat('srv-', cast(o_custkey % 3 AS string)) AS server_name,
+       max(o_orderdate) + INTERVAL 2 HOURS AS collected_utc
+FROM orders
+WHERE o_orderdate >= TIMESTAMP '2000-06-01 00:00:00' AND (month(o_orderdate) + o_custkey % 3) % 4 <> 0
+GROUP BY concat('srv-', cast(o_custkey % 3 AS string)), year(o_orderdate), month(o_orderdate), day(o_orderdate) >= 16
+"""
+
+BINDINGS["log_segment_collections"] = f"""
+SELECT s.server_name, t.collected_utc, s.database_name
+FROM (SELECT concat('srv-', cast(l_suppkey % 3 AS string)) AS server_name,
+             concat('db', cast(cast(floor(sqrt(l_partkey % 900)) AS bigint) AS string)) AS database_name,
+             l_orderkey % 1500 AS segment, min(l_shipdate) AS since
+      FROM lineitem
+      GROUP BY concat('srv-', cast(l_suppkey % 3 AS string)),
+               concat('db', cast(cast(floor(sqrt(l_partkey % 900)) AS bigint) AS string)), l_orderkey % 1500) AS s
+JOIN ({BINDINGS["collection_times"]}) AS t ON t.server_name = s.server_name
+WHERE s.since <= t.collected_utc AND (s.segment + month(t.collected_utc)) % 11 <> 0
+"""
+
+BINDINGS["file_history"] = f"""
+SELECT f.server_name, f.database_id, f.file_id, f.database_name, f.physical_name, f.type_desc,
+       CASE WHEN f.file_id % 2 = 0 THEN f.size_pages + month(t.collected_utc) * 10 ELSE f.size_pages END AS size_pages,
+       f.growth_pages, f.is_percent_growth AND month(t.collected_utc) < 9 AS is_percent_growth, t.collected_utc
+FROM ({BINDINGS["files"]}) AS f JOIN ({BINDINGS["collection_times"]}) AS t ON t.server_name = f.server_name
+WHERE (f.database_id + month(t.collected_utc)) % 7 <> 0
+"""
+
+BINDINGS["property_collections"] = f"""
+SELECT p.server_name, t.collected_utc, p.property_name,
+       CASE WHEN p.property_name = 'Edition' AND month(t.collected_utc) > 6 THEN 'Enterprise'
+            WHEN p.property_name = 'ProductMajorVersion' AND year(t.collected_utc) = 2001 THEN '15' ELSE p.property_value END AS property_value
+FROM ({BINDINGS["properties"]}) AS p JOIN ({BINDINGS["collection_times"]}) AS t ON t.server_name = p.server_name
+WHERE (length(p.property_name) + month(t.collected_utc)) % 6 <> 0
+"""
+
+BINDINGS["config_collections"] = f"""
+SELECT c.server_name, t.collected_utc, c.name, CASE WHEN month(t.collected_utc) % 3 = 0 THEN c.value + 1 ELSE c.value END AS value
+FROM ({BINDINGS["configs"]}) AS c JOIN ({BINDINGS["collection_times"]}) AS t ON t.server_name = c.server_name
+"""
+
+BINDINGS["scheduler_collections"] = f"""
+SELECT s.server_name, t.collected_utc, s.parent_node_id,
+       CASE WHEN month(t.collected_utc) % 5 = 0 AND s.status = 'VISIBLE OFFLINE' THEN 'VISIBLE ONLINE' ELSE s.status END AS status
+FROM ({BINDINGS["schedulers"]}) AS s JOIN ({BINDINGS["collection_times"]}) AS t ON t.server_name = s.server_name
+WHERE s.parent_node_id < 4 OR month(t.collected_utc) > 3
+"""
+
+BINDINGS["database_collections"] = f"""
+SELECT d.server_name, t.collected_utc, d.database_id, d.database_name,
+       CASE WHEN month(t.collected_utc) > 8 THEN 'FULL' ELSE d.recovery_model END AS recovery_model, d.page_verify,
+       d.is_auto_shrink_on, d.is_auto_close_on
+FROM ({BINDINGS["database_settings"]}) AS d JOIN ({BINDINGS["collection_times"]}) AS t ON t.server_name = d.server_name
+WHERE (d.database_id + month(t.collected_utc)) % 9 <> 0
+"""
+
+BINDINGS["integrity_collections"] = f"""
+SELECT i.server_name, t.collected_utc, i.database_name, i.last_known_good
+FROM ({BINDINGS["integrity_checks"]}) AS i JOIN ({BINDINGS["collection_times"]}) AS t ON t.server_name = i.server_name
+WHERE month(t.collected_utc) % 2 = 1
+"""
+
+BINDINGS["raw_wait_history"] = f"""
+SELECT c.server_name, c.event_time_utc, c.event_time_utc - INTERVAL 5 HOURS AS event_time_local, w.wait_type,
+       c.value AS waiting_tasks_count, c.value * (w.k * 700 + 1300) AS wait_time_ms, c.value * (w.k * 50 + 20) AS signal_wait_time_ms
+FROM ({BINDINGS["cumulative_samples"]}) AS c
+JOIN (SELECT server_name, wait_type, min(signal_wait_time_ms) % 13 AS k FROM ({BINDINGS["raw_waits"]}) AS r
+      GROUP BY server_name, wait_type) AS w ON w.server_name = c.server_name
+"""
+
+BINDINGS["index_stats_history"] = f"""
+SELECT c.server_name, c.event_time_utc, d.database_id, c.value * (d.database_id * 300 + 900) AS row_lock_wait_in_ms,
+       c.value * (d.n % 7 * 100 + 250) AS page_lock_wait_in_ms
+FROM ({BINDINGS["cumulative_samples"]}) AS c
+JOIN (SELECT server_name, database_id, count(*) AS n FROM ({BINDINGS["index_stats"]}) AS i GROUP BY server_name, database_id) AS d
+  ON d.server_name = c.server_name
+"""
+
 _TABLES = ["customer", "events", "lineitem", "orders", "supplier"]
 _FROM = re.compile(r"\bFROM (" + "|".join(_TABLES) + r")\b")
 
