@@ -9,15 +9,18 @@ server in a micro-batch are split like in batch, instead of all landing in one s
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from fleetgauge.functions.semantics import SERVER, int_avg, minute_round
 from fleetgauge.operators.cpu import SATURATION_THRESHOLD
-from fleetgauge.operators.ingest import append_missing_rollups, boundary_snapshots, counter_delta
+from fleetgauge.operators.ingest import boundary_snapshots, counter_delta
+from fleetgauge.sources.commits import PublishedTable
 
 LOOK_BACK = "4 hours"
 
@@ -53,31 +56,35 @@ def saturation_alerts(stream: DataFrame, threshold: int = SATURATION_THRESHOLD,
     )
 
 
+KIND = "__kind"
+
+
 class VersionedTable:
-    """A table with one version per micro-batch, ``batch=<number>`` below its path.
+    """A table with one version per micro-batch, ``batch=<number>`` below its path, with rows of several kinds.
 
     Micro-batches are numbered from 0 without gaps and one ends before the next begins. Each
     reads only older versions and writes its own with overwrite, so a micro-batch that is run
-    again after a failure gives the same result.
+    again after a failure gives the same result. All kinds of a version are one write.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, schema: StructType):
+        self.spark, self.path, self.schema = spark, path, schema
 
-    def previous(self, batch_id: int) -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.path}/batch={batch_id - 1}") if batch_id else None
+    def _open(self, path: str) -> DataFrame:
+        stored = StructType([*self.schema.fields, StructField(KIND, StringType()), StructField("batch", LongType())])
+        return self.spark.read.schema(stored).option("basePath", self.path).parquet(path)
 
-    def all_before(self, batch_id: int) -> DataFrame | None:
-        """Older versions together; the filter is on the directory, so no other file is read."""
-        if not batch_id:
-            return None
-        return self.spark.read.parquet(self.path).filter(F.col("batch") < batch_id).drop("batch")
+    def previous(self, batch_id: int, kind: str) -> DataFrame | None:
+        return self._open(f"{self.path}/batch={batch_id - 1}").filter(F.col(KIND) == kind).drop(KIND, "batch") if batch_id else None
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        df.write.mode("overwrite").partitionBy(KIND).parquet(f"{self.path}/batch={batch_id}")
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop("batch")
+    def read(self, kind: str) -> DataFrame:
+        """Rows of a kind from all versions; none before the first micro-batch."""
+        if self.newest() is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self._open(self.path).filter(F.col(KIND) == kind).drop(KIND, "batch")
 
     def _folder(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -89,47 +96,60 @@ class VersionedTable:
         names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
         return max((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), default=None)
 
-    def forget(self, batch_id: int) -> None:
+    def forget(self, batch_id: int, kind: str) -> None:
         """Drops what no micro-batch reads any more: one that is run again needs only the version before it."""
         files, path = self._folder()
-        files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"batch={batch_id - 2}"), True)
+        files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"batch={batch_id - 2}/{KIND}={kind}"), True)
 
 
 class Results:
     """Results of a re-ordering stream: settled ones by micro-batch, and those that later rows may still change.
 
-    ``late`` holds rows that came after the look-back, by micro-batch; ``late.read().count()`` tells how many.
+    Beside them the samples: those carried to the next micro-batch, and the late ones, which came after the look-back.
     """
 
-    def __init__(self, spark: SparkSession, root: str, name: str):
-        self.settled, self.open = VersionedTable(spark, f"{root}/{name}"), VersionedTable(spark, f"{root}/open")
-        self.state, self.late = VersionedTable(spark, f"{root}/state"), VersionedTable(spark, f"{root}/late")
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, name: str, results: StructType, samples: StructType):
+        self.results = VersionedTable(spark, f"{root}/{name}", results)
+        self.samples = VersionedTable(spark, f"{root}/samples", StructType([*samples.fields, StructField("__carried", BooleanType())]))
 
     def read(self) -> DataFrame:
         """Everything known so far: the settled results and the open ones of the newest micro-batch."""
-        newest = self.open.newest()
-        settled = self.settled.read()
-        return settled if newest is None else settled.unionByName(self.open.previous(newest + 1))
+        newest = self.results.newest()
+        settled = self.results.read("settled")
+        return settled if newest is None else settled.unionByName(self.results.previous(newest + 1, "open"))
+
+    def late(self) -> DataFrame:
+        return self.samples.read("late").drop("__carried")
 
+    def carried(self, batch_id: int) -> DataFrame | None:
+        return self.samples.previous(batch_id, "carried")
 
-def _reordered(batch: DataFrame, state: DataFrame | None, keys: list[str], order: list[str], delay: str) -> tuple[DataFrame, DataFrame]:
-    """Open rows of the state and the batch, and rows that came too late.
+    def write(self, found: DataFrame, settled: Column, carried: DataFrame, late: DataFrame, batch_id: int) -> None:
+        """One write of results, one of samples."""
+        self.results.write(found.withColumn(KIND, F.when(settled, "settled").otherwise("open")).select(*self.results.schema.names, KIND), batch_id)
+        columns = self.samples.schema.names
+        late = late.withColumn("__carried", F.lit(False)).select(*columns, F.lit("late").alias(KIND))
+        self.samples.write(carried.select(*columns, F.lit("carried").alias(KIND)).unionByName(late), batch_id)
+        self.results.forget(batch_id, "open")
+        self.samples.forget(batch_id, "carried")
+
+
+def _reordered(batch: DataFrame, state: DataFrame | None, keys: list[str], order: list[str], delay: str) -> DataFrame:
+    """Open rows of the state and the batch in one table, with the rows that came too late marked by ``__late``.
 
     ``__cut``: the newest time of the key less ``delay``; ``__carried``: settled before, kept as a predecessor. A row is too
     late if it is before the last settled row of its key in the full ``order``; a row of the same place is not.
     """
-    fresh = batch.withColumn("__carried", F.lit(False))
-    late = batch.limit(0)
+    fresh = batch.withColumns({"__carried": F.lit(False), "__late": F.lit(False)})
     if state is not None:
         place = F.struct(*order)
         settled = state.filter("__carried").groupBy(*keys).agg(F.max(place).alias("__settled"))
-        judged = fresh.join(settled, keys, "left")
-        behind = F.col("__settled").isNotNull() & (place < F.col("__settled"))
-        late = judged.filter(behind).select(*batch.columns)
-        fresh = judged.filter(~behind).select(*batch.columns, "__carried").unionByName(state)
-    cut = fresh.groupBy(*keys).agg((F.max(order[0]) - F.expr(f"INTERVAL {delay}")).alias("__cut"))
-    return fresh.join(cut, keys), late
+        behind = F.coalesce(place < F.col("__settled"), F.lit(False))
+        fresh = fresh.join(settled, keys, "left").withColumn("__late", behind).drop("__settled")
+        fresh = fresh.unionByName(state.withColumn("__late", F.lit(False)))
+    newest = F.max(F.when(~F.col("__late"), F.col(order[0])))
+    cut = fresh.groupBy(*keys).agg((newest - F.expr(f"INTERVAL {delay}")).alias("__cut"))
+    return fresh.join(cut, keys)
 
 
 def _start(stream: DataFrame, root: str, step: Callable[[DataFrame, int], None], trigger: dict | None = None) -> StreamingQuery:
@@ -157,23 +177,21 @@ def counter_delta_stream(
     increases settle. Later ones go to ``late``. The carried table has the open rows and one settled row per key.
     """
     keys, order = keys or [SERVER], order or ["event_time_utc"]
-    out = Results(stream.sparkSession, root, "deltas")
+    spark, samples = stream.sparkSession, stream.schema
+    empty = spark.createDataFrame([], samples)
+    out = Results(spark, root, "deltas", counter_delta(empty, value, keys, order).schema, samples)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows, late = _reordered(batch, out.state.previous(batch_id), keys, order, delay)
-        rows = rows.persist()
-        deltas = counter_delta(rows, value, keys, order, bucket=bucket).filter(~F.col("__carried"))
+        judged = _reordered(batch, out.carried(batch_id), keys, order, delay).persist()
+        rows = judged.filter(~F.col("__late"))
         settled = F.col(order[0]) <= F.col("__cut")
-        out.settled.write(deltas.filter(settled).drop("__carried", "__cut"), batch_id)
-        out.open.write(deltas.filter(~settled).drop("__carried", "__cut"), batch_id)
-        out.late.write(late, batch_id)
+        deltas = counter_delta(rows, value, keys, order, bucket=bucket).filter(~F.col("__carried"))
         rest = [c for c in batch.columns if c not in keys]
         newest = rows.filter(settled).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__row"))
-        carried = newest.select(*keys, "__row.*").withColumn("__carried", F.lit(True))
-        out.state.write(rows.filter(~settled).drop("__cut").unionByName(carried), batch_id)
-        rows.unpersist()
-        out.open.forget(batch_id)
-        out.state.forget(batch_id)
+        last = newest.select(*keys, "__row.*").withColumn("__carried", F.lit(True))
+        carried = rows.filter(~settled).select(*batch.columns, "__carried").unionByName(last)
+        out.write(deltas, settled, carried, judged.filter("__late"), batch_id)
+        judged.unpersist()
 
     return _start(stream, root, step, trigger), out
 
@@ -192,23 +210,20 @@ def boundary_snapshot_stream(
     follower is older than ``delay``. The carried table has the open rows and all rows of each server's last settled
     instant; rows of that instant may still come.
     """
-    out = Results(stream.sparkSession, root, "snapshots")
+    spark, samples = stream.sparkSession, stream.schema
+    found_schema = boundary_snapshots(spark.createDataFrame([], samples), restarts(), ts).schema
+    out = Results(spark, root, "snapshots", found_schema, samples)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows, late = _reordered(batch, out.state.previous(batch_id), [SERVER], [ts], delay)
-        rows = rows.persist()
+        judged = _reordered(batch, out.carried(batch_id), [SERVER], [ts], delay).persist()
+        rows = judged.filter(~F.col("__late"))
         last = rows.filter(F.col(ts) <= F.col("__cut")).groupBy(SERVER).agg(F.max(ts).alias("__last"))
         found = boundary_snapshots(rows.select(*batch.columns), restarts(), ts).join(last, SERVER, "left")
         settled = F.coalesce(F.col("snapshot_date_utc") < F.col("__last"), F.lit(False))
-        out.settled.write(found.filter(settled).drop("__last"), batch_id)
-        out.open.write(found.filter(~settled).drop("__last"), batch_id)
-        out.late.write(late, batch_id)
         kept = rows.join(last, SERVER, "left").filter(F.col("__last").isNull() | (F.col(ts) >= F.col("__last")))
-        kept = kept.withColumn("__carried", F.coalesce(F.col(ts) == F.col("__last"), F.lit(False)))
-        out.state.write(kept.select(*batch.columns, "__carried"), batch_id)
-        rows.unpersist()
-        out.open.forget(batch_id)
-        out.state.forget(batch_id)
+        carried = kept.withColumn("__carried", F.coalesce(F.col(ts) == F.col("__last"), F.lit(False)))
+        out.write(found, settled, carried, judged.filter("__late"), batch_id)
+        judged.unpersist()
 
     return _start(stream, root, step, trigger), out
 
@@ -216,18 +231,20 @@ def boundary_snapshot_stream(
 def publish_rollups(
     stream: DataFrame, target: str, checkpoint: str, keys: list[str], trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append rollup rows to a stored table, each key once and never again.
+    """Publish rollup rows to a stored table (``PublishedTable``), each key once and never again.
 
-    Duplicates inside one micro-batch collapse with a map-side combined minimum.
+    Duplicates inside one micro-batch collapse with a map-side combined minimum. The check reads the keys of the months
+    in the micro-batch, not the rows published earlier. A micro-batch is a run of the commit log, named by the checkpoint
+    and its number: one that is run again after its commit adds nothing, one that died before it leaves nothing, and
+    several queries may publish to one table.
     """
-    spark = stream.sparkSession
     rest = [c for c in stream.columns if c not in keys]
-    table = VersionedTable(spark, target)
+    table = PublishedTable(stream.sparkSession, target)
+    name = hashlib.md5(checkpoint.encode()).hexdigest()
 
     def step(batch: DataFrame, batch_id: int) -> None:
         once = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row")).select(*keys, "__row.*")
-        published = table.all_before(batch_id)
-        table.write(once if published is None else append_missing_rollups(once, published, keys), batch_id)
+        table.publish(once, keys, f"{name}-{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(step)

@@ -35,7 +35,7 @@ def test_deltas_of_rows_out_of_order_equal_batch(spark, tmp_path):
     query, out = jobs.counter_delta_stream(landed(spark, tmp_path, parts, DDL), f"{tmp_path}/run", keys=["server_name", "counter"], order=["event_time_utc", "sample_id"])
     query.awaitTermination()
     whole = spark.createDataFrame([r for p in parts for r in p], DDL)
-    assert query.lastProgress["batchId"] >= 3 and out.late.read().count() == 0
+    assert query.lastProgress["batchId"] >= 3 and out.late().count() == 0
     assert bag(out.read()) == bag(ingest.counter_delta(whole, keys=["server_name", "counter"], order=["event_time_utc", "sample_id"]))
 
 
@@ -43,7 +43,7 @@ def test_rows_after_the_look_back_are_put_aside_and_counted(spark, tmp_path):
     parts = [[("a", "x", T0, 1, 10)], [("a", "x", T0 + timedelta(hours=9), 2, 20)], [("a", "x", T0 - timedelta(hours=1), 3, 1)]]
     query, out = jobs.counter_delta_stream(landed(spark, tmp_path, parts, DDL), f"{tmp_path}/run", order=["event_time_utc", "sample_id"])
     query.awaitTermination()
-    assert (out.late.read().count(), out.read().count()) == (1, 2)
+    assert (out.late().count(), out.read().count()) == (1, 2)
 
 
 def test_boundaries_of_one_instant_in_two_files(spark, tmp_path):

@@ -10,6 +10,7 @@ import __spark_entry__ as entry_point
 from fleetgauge.operators import cpu, ingest, waits
 from fleetgauge.plans import jobs as plans
 from fleetgauge.schemas import SCHEMAS, conform, schema
+from fleetgauge.sources.commits import PublishedTable
 from fleetgauge.sources.session import checkpoint_root
 from fleetgauge.sources.tables import append_samples, read_table
 from fleetgauge.streaming import jobs
@@ -74,12 +75,16 @@ def test_snapshot_stream_equals_batch(spark, tmp_path):
 
 
 def test_a_micro_batch_can_be_run_again(spark, tmp_path):
-    table = jobs.VersionedTable(spark, f"{tmp_path}/t")
-    assert table.previous(0) is None and table.all_before(0) is None
-    table.write(spark.range(3), 0)
-    table.write(spark.range(5), 1)
-    table.write(spark.range(7), 1)
-    assert (table.previous(1).count(), table.all_before(1).count(), table.read().count()) == (3, 3, 10)
+    table = jobs.VersionedTable(spark, f"{tmp_path}/t", spark.range(1).schema)
+    rows = lambda n, kind: spark.range(n).withColumn(jobs.KIND, F.lit(kind))
+    assert table.previous(0, "x") is None and table.read("x").count() == 0
+    table.write(rows(3, "x"), 0)
+    table.write(rows(5, "x"), 1)
+    table.write(rows(7, "x").union(rows(2, "y")), 1)
+    assert (table.previous(1, "x").count(), table.read("x").count(), table.read("y").count()) == (3, 10, 2)
+    assert (table.previous(1, "y").count(), table.newest()) == (0, 1)
+    table.forget(2, "x")
+    assert table.read("x").count() == 7
 
 
 def test_stream_of_minutes_drops_what_is_too_late(spark, tmp_path):
@@ -108,7 +113,7 @@ def test_rollups_are_published_once(spark, tmp_path):
     parts = [[("a", jan, 1), ("a", jan, 1)], [("a", jan, 9), ("a", feb, 2)], [("b", jan, 3), ("a", feb, 2)]]
     stream, _ = land(spark, tmp_path, parts, ddl)
     jobs.publish_rollups(stream, f"{tmp_path}/t", f"{tmp_path}/cp", ["server_name", "rollup_month"]).awaitTermination()
-    assert bag(jobs.VersionedTable(spark, f"{tmp_path}/t").read()) == [("a", jan, 1), ("a", feb, 2), ("b", jan, 3)]
+    assert bag(PublishedTable(spark, f"{tmp_path}/t").read()) == [("a", jan, 1), ("a", feb, 2), ("b", jan, 3)]
 
 
 CPU = "server_name string, event_time_utc timestamp_ntz, event_time_local timestamp_ntz, sql_service int, idle_process int, non_sql_process int"
