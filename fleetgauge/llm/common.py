@@ -63,6 +63,12 @@ class Memo(dict):
         return value
 
 
+def row_tag(df: DataFrame) -> Column:
+    """Tells rows of one id apart: a hash of all plain columns. Equal rows have the same tag."""
+    kinds = [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in kinds])
+
+
 def small(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint if it is counted to be small; otherwise Spark shuffles it."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

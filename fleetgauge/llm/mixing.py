@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import materialize, running_total, seeded_order, small, table
+from fleetgauge.llm.common import materialize, row_tag, running_total, seeded_order, small, table
 
 LEVELS = ["domain", "lang", "source"]
 SEED = 7
@@ -106,7 +106,10 @@ def mix_sources(
     plan = plan.join(leaves, LEVELS).select(*LEVELS, "tokens", "budget", F.least(whole, F.lit(epochs)).cast("long").alias("whole"))
     plan = materialize(plan.withColumn("last", F.col("budget") - F.col("whole") * F.col("tokens")), "plan")
     marked = slim.join(small(plan), LEVELS)
-    order = seeded_order(seed, F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    name = F.col("doc_id")
+    if dict(marked.dtypes)["doc_id"].startswith("struct"):  # an id and what tells its rows apart
+        name = F.col("doc_id.doc_id")
+    order = seeded_order(seed, F.col("whole").cast("string"), F.coalesce(name.cast("string"), F.lit("")))
     placed = running_total(marked.withColumn("__order", order), LEVELS, "__order", "doc_id", "n_tokens", "__before", rows)
     copies = F.col("whole") + F.when((F.col("__before") < F.col("last")), 1).otherwise(0)
     return placed.select(
@@ -115,9 +118,21 @@ def mix_sources(
 
 
 def keep_mixed(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
-    """The rows of ``docs`` that are taken, each once. Rows with a null id stay."""
-    gone = mix_sources(docs, percent, STAGE_EPOCHS).where("copies = 0").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that are taken, each once.
+
+    Rows are told apart by their id and all their columns. Of equal rows as many stay as are taken, which is all or none
+    unless the leaf's prefix ends among them. Rows with a null id take part like all others.
+    """
+    rows = docs.withColumn("__row", F.struct(F.col("doc_id"), row_tag(docs).alias("tag")))
+    taken = mix_sources(rows, percent, STAGE_EPOCHS, id_col="__row").groupBy(F.col("doc_id").alias("__key"))
+    short = materialize(taken.agg(F.count_if(F.col("copies") > 0).alias("__stay"), F.count("*").alias("__all")).where("__stay < __all"), "left-out")
+    marked = rows.join(short, F.col("__row").eqNullSafe(F.col("__key")), "left")
+    kept = marked.where("__key IS NULL").select(docs.columns)
+    if short.where("__stay > 0").isEmpty():
+        return kept
+    place = F.row_number().over(Window.partitionBy("__row").orderBy(F.lit(0)))  # the rows are equal
+    part = marked.where("__stay > 0").withColumn("__place", place).where("__place <= __stay").select(docs.columns)
+    return kept.unionByName(part)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

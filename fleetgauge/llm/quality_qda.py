@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import fold, materialize, table
+from fleetgauge.llm.common import fold, materialize, row_tag, table
 
 SYMBOLS, ENDS = b"#*$%&|<>{}[]\\~^_=+@", b".,;:!?"
 UPPER = bytes(range(65, 91))
@@ -156,9 +156,19 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not rejected; rows with a null id stay."""
-    bad = classify(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("__bad"), "left_anti")
+    """The rows of ``docs`` that are not rejected.
+
+    Rows are told apart by their id and all their columns, so a rejected text takes no other text of its id along. Equal
+    rows have equal scores: they stay or go together. Rows with a null id are judged as well.
+    """
+    rows = docs.withColumn("__row", F.struct(F.col("doc_id"), row_tag(docs).alias("tag")))
+    described = materialize(describe(rows, "__row"), "statistics")
+    model = fit(
+        described.withColumn("doc_id", F.col("doc_id.doc_id")).where(fold("doc_id") != 0),
+        labels.select("doc_id", "quality").where(fold("doc_id") != 0),
+    )
+    bad = score(described, model).where(F.col("score") < THRESHOLD).select(F.col("doc_id").alias("__bad")).distinct()
+    return rows.join(bad, F.col("__row").eqNullSafe(F.col("__bad")), "left_anti").drop("__row")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
