@@ -14,6 +14,7 @@ K, CELLS = 10, 256
 GROUP_ROWS, QUERY_ROWS = 16_384, 1_024
 #: Factor of the integer components.
 SCALE = 1024
+MOST = 2**63 - 1
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -23,6 +24,13 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.clip(np.floor((x - low) / width), 0, CELLS - 1).astype(np.uint8), low, width
 
 
+def _products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Integer inner products; those beyond 64 bits become the nearest 64-bit number."""
+    if x.dtype != object:
+        return x @ q
+    return np.array([max(-MOST, min(MOST, s)) for s in x @ q.astype(object)], np.int64)
+
+
 def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[list, list, list]:
     """The ``k`` best (query, id, score) of a group, ties to smaller ids, a query's own id left out.
 
@@ -36,6 +44,10 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
     half = np.abs(q) @ (0.5 * width)
     # room for float32 sums of up to 255 * |q * width| per dimension
     upper = about + half[:, None] * 1.001 + 1e-5 * (np.abs(q * width).sum(axis=1) * CELLS)[:, None] + 1.0
+    # and for float64 sums where the cells are narrow and far from zero
+    upper += 1e-12 * (np.abs(q) @ np.abs(low))[:, None]
+    reach = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1]
+    exact = x if reach < 2**62 else x.astype(object)  # Python's integers where a sum may pass 64 bits
     out: tuple[list, list, list] = ([], [], [])
     step = max(4 * k, 32)
     for j in range(len(q)):
@@ -46,7 +58,7 @@ def search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
             order = ranked[done : done + step]
             if len(best_s) == k and bound[order[0]] < best_s[-1]:
                 break
-            s, i = np.concatenate([best_s, x[order] @ q[j]]), np.concatenate([best_i, ids[order]])
+            s, i = np.concatenate([best_s, _products(exact[order], q[j])]), np.concatenate([best_i, ids[order]])
             top = np.lexsort((i, -s))[:k]
             best_s, best_i, done = s[top], i[top], done + step
         for column, values in zip(out, ([query_ids[j]] * len(best_s), best_i, best_s)):
@@ -75,13 +87,16 @@ def top_k(
     Vectors are dealt over groups by a hash of the id, queries over groups of their own; each task searches one pair of
     groups, and only its ``k`` best per query leave it. Both groups have a bounded size, whatever the table's.
 
+    Components are 64-bit integers (beyond, the nearest of them). Sums of products that may pass 64 bits are added as
+    Python's integers; a score beyond 64 bits is the nearest 64-bit integer, and ties among such go to smaller ids.
+
     Null vectors and vectors with null or non-finite components, and rows with a null id, take no part, nor do vectors
     of another length than the most frequent one. Rows with the same id are one candidate (the largest vector). Fewer
     than ``k`` candidates give all of them. An empty table gives no rows; other columns are ignored.
     """
     x = F.col(vector_col)
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
-    whole = F.transform(x, lambda v: F.floor(v.cast("double") * SCALE).cast("int"))
+    whole = F.transform(x, lambda v: F.floor(v.cast("double") * SCALE).cast("long"))
     usable = vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0) & F.forall(x, finite))
     rows = usable.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("x"))
     sizes = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
