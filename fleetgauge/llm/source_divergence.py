@@ -6,6 +6,8 @@ to the divergence of every pair of groups, and the parts are added along the ter
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,8 +22,8 @@ UNIT = 1_000_000_000
 LEAST_DOCS, TOP = 3, 200
 #: Groups of a block and (about) kept terms of a block: a cell holds at most 2 * 32 * 4,096 counts, give or take chance.
 GROUP_BLOCK, TERM_BLOCK = 32, 4_096
-#: Entries of the counter of a task; a fuller one is passed on and started anew.
-COUNTER = 400_000
+#: Terms by group in the counters of a task; fuller ones are passed on and started anew.
+COUNTER = 800_000
 
 #: A-Z in lower case; every other byte below 0x80 that is no letter parts terms.
 _LETTERS = bytes(i + 32 if 65 <= i <= 90 else i if i >= 128 or 97 <= i <= 122 else 32 for i in range(256))
@@ -32,31 +34,27 @@ def _count(batches):
     seen: dict = {}
 
     def flush():
-        lang, source, term = zip(*seen)
-        n, docs = zip(*seen.values())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang), pa.array(source), pa.array([t.decode("utf-8", "replace") for t in term]), pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
-            names=["lang", "source", "term", "n", "docs"],
-        )
+        for (lang, source), (n, docs) in seen.items():
+            terms = pa.array([t.decode("utf-8", "replace") for t in n])
+            group = [pa.repeat(name, len(terms)) for name in (lang, source)]
+            holders = pa.array([docs[t] for t in n], pa.int64())
+            yield pa.RecordBatch.from_arrays([*group, terms, pa.array(n.values(), pa.int64()), holders], names=["lang", "source", "term", "n", "docs"])
 
+    size = 0
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-            own: dict = {}
-            for term in text.translate(_LETTERS).split(b" "):
-                own[term] = own.get(term, 0) + 1
-            own.pop(b"", None)
-            for term, n in own.items():
-                entry = seen.get((lang, source, term))
-                if entry:
-                    entry[0] += n
-                    entry[1] += 1
-                else:
-                    seen[lang, source, term] = [n, 1]
-            if len(seen) > COUNTER:
-                yield flush()
-                seen.clear()
-    if seen:
-        yield flush()
+            terms = text.translate(_LETTERS).split()  # only the space is left of the white space of bytes
+            if terms:
+                n, docs = seen.get((lang, source)) or seen.setdefault((lang, source), (Counter(), Counter()))
+                before = len(n)
+                n.update(terms)
+                docs.update(set(terms))
+                size += len(n) - before
+                if size > COUNTER:
+                    yield from flush()
+                    seen.clear()
+                    size = 0
+    yield from flush()
 
 
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
