@@ -112,6 +112,42 @@ def ingest_scheduler_records(raw: DataFrame, new_since: DataFrame | None = None)
     )
 
 
+#: Why a scheduler record is put aside.
+NO_RECORD, NOT_XML, NOT_A_NUMBER = DAMAGE = ["no record", "not well-formed", "not a number"]
+
+
+def judge_scheduler_records(raw: DataFrame) -> DataFrame:
+    """Scheduler records as ``ingest_scheduler_records`` gives them, with ``damage`` and, where there is any, the ``record``.
+
+    ``damage`` is NULL for good records, a missing node included. A record is damaged if there is none, if it is not
+    well-formed XML, or if the text of a load is no whole number; its loads are NULL. Each record is parsed once.
+    """
+    schema = RECORD_SCHEMA + ", __broken string"
+    node = lambda name: F.get(F.col(f"__xml.SchedulerMonitorEvent.SystemHealth.{name}"), F.lit(0))
+    clocks = {"sampled_at_utc": "event_time_utc", "sampled_at_local": "event_time_local"}
+    parsed = raw.filter(F.col("ring_buffer_type") == SCHEDULER_MONITOR).withColumn(
+        "__xml", F.from_xml("record", F.lit(schema), {"rowTag": "Record", "columnNameOfCorruptRecord": "__broken"})
+    )
+    loads = {"sql_service": node("ProcessUtilization"), "idle_process": node("SystemIdle")}
+    unreadable = [text.isNotNull() & text.try_cast("int").isNull() for text in loads.values()]
+    damage = choose(
+        [
+            (F.coalesce(F.trim("record"), F.lit("")) == "", NO_RECORD),
+            (F.col("__xml.__broken").isNotNull() | F.col("__xml").isNull(), NOT_XML),
+            (unreadable[0] | unreadable[1], NOT_A_NUMBER),
+        ]
+    )
+    judged = parsed.withColumn("damage", damage)
+    good = F.col("damage").isNull()
+    return judged.select(
+        SERVER,
+        *[_shifted(c).alias(out) for c, out in clocks.items() if c in raw.columns],
+        *[F.when(good, text.try_cast("int")).alias(name) for name, text in loads.items()],
+        "damage",
+        F.when(~good, F.col("record")).alias("record"),
+    ).withColumn("non_sql_process", F.lit(100) - F.col("idle_process") - F.col("sql_service"))
+
+
 def append_new_minutes(
     batch: DataFrame,
     history: DataFrame | None,
@@ -414,6 +450,20 @@ def counter_delta(
     return steps.withColumn(out, step.cast("bigint")).select(*columns, out)
 
 
+def _decisive_instants(samples: DataFrame, restarts: DataFrame, ts: str) -> DataFrame:
+    """Sampling times that can begin or end a segment: the first and the last of each hour, and all of hours with a restart.
+
+    Within an hour without a restart the month and the uptime period are the same, so what goes on to be ordered is two
+    rows per server and hour, reduced map-side.
+    """
+    hour = F.date_trunc("hour", ts).alias("__hour")
+    times = samples.select(SERVER, ts, hour)
+    ends = times.groupBy(SERVER, "__hour").agg(F.array(F.min(ts), F.max(ts)).alias("__ends"))
+    broken = restarts.select(SERVER, F.date_trunc("hour", "restart_ts").alias("__hour")).distinct()
+    inside = times.join(broken, [SERVER, "__hour"], "left_semi")
+    return ends.select(SERVER, F.explode("__ends").alias(ts)).unionByName(inside.select(SERVER, ts))
+
+
 def boundary_marks(samples: DataFrame, restarts: DataFrame, ts: str = "event_time_utc") -> DataFrame:
     """Which sample of a server closes or opens which month, or precedes a restart.
 
@@ -424,9 +474,8 @@ def boundary_marks(samples: DataFrame, restarts: DataFrame, ts: str = "event_tim
       the server restarted in between (the counters then began at zero);
     * restart only: it is the last reading before the restart.
     """
-    times = samples.select(SERVER, ts).distinct()
     segments = (
-        with_latest_mark(times, restarts, [SERVER], ts, "restart_ts", "__uptime")
+        with_latest_mark(_decisive_instants(samples, restarts, ts), restarts, [SERVER], ts, "restart_ts", "__uptime")
         .groupBy(SERVER, month_of(ts).alias("__month"), "__uptime")
         .agg(F.min(ts).alias("__first"), F.max(ts).alias(ts))
     )

@@ -9,12 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.semantics import MONTH, SERVER, month_of
 from fleetgauge.operators.calendar import month_slice
-from fleetgauge.operators.ingest import advance_boundaries, append_missing_rollups, append_new_minutes
+from fleetgauge.operators.daily import daily_sketches
+from fleetgauge.operators.ingest import (
+    DAMAGE,
+    advance_boundaries,
+    append_missing_rollups,
+    append_new_minutes,
+    judge_scheduler_records,
+)
 from fleetgauge.operators.inventory import FROM, ROWS, SEEN, TO, apply_collections, validity_intervals
 from fleetgauge.sources.commits import PublishedTable
 from fleetgauge.sources.tables import append_rollup, append_samples, stored_rollups
@@ -136,3 +143,30 @@ def stored_intervals(spark: SparkSession, path: str) -> DataFrame | None:
     table = PublishedTable(spark, path)
     closed, (carried, _) = table.read(), table.state()
     return None if closed is None else closed.unionByName(carried.filter(F.col(FROM).isNotNull()))
+
+
+def sketch_days(spark: SparkSession, values: DataFrame, columns: list[str], path: str, until: date, ts: str = "event_time_utc") -> bool:
+    """Store the sketches of all days before ``until`` that are not stored yet (see ``daily_sketches``).
+
+    The day the last run ended with is the carried state, so a run reads the samples of new closed days alone. A sample
+    that comes after its day was closed is not counted.
+    """
+
+    def step(carried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        since = carried.first()["until"] if carried is not None else date(1, 1, 1)
+        fresh = month_slice(values, since, max(since, until), ts)
+        return daily_sketches(fresh, columns, ts), spark.createDataFrame([(max(since, until),)], "until date")
+
+    return PublishedTable(spark, path).advance(step)
+
+
+def collect_scheduler_records(spark: SparkSession, raw: DataFrame, path: str, run: str) -> dict[str, int]:
+    """Publish the parsed records of a landing, damaged ones beside the good (see ``judge_scheduler_records``).
+
+    Returns how many records there were and how many were damaged, by reason; both are counted while the records are
+    written. A landing that is published already is not counted again (an empty result).
+    """
+    counts = Observation()
+    reasons = {reason: F.count_if(F.col("damage") == reason).alias(reason) for reason in DAMAGE}
+    judged = judge_scheduler_records(raw).observe(counts, F.count(F.lit(1)).alias("records"), *reasons.values())
+    return counts.get if PublishedTable(spark, path).put(judged, run) else {}

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ["ingest", "cpu", "memory", "disk", "wait", "blocking", "deadlock", "health", "inventory", "chain", "stream"]
+_MODULES = ["ingest", "cpu", "memory", "disk", "wait", "blocking", "deadlock", "health", "inventory", "chain", "daily", "stream"]
 
 
 def _loaded():

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.operators import cpu
-from fleetgauge.plans.ingest_queries import _minute
+from fleetgauge.plans.deadlock_queries import delta_sql
+from fleetgauge.plans.ingest_queries import BOUNDARIES, _minute
 from fleetgauge.plans.ingest_queries import ORACLE as INGEST
 from fleetgauge.plans.cpu_queries import ORACLE as CPU
 from fleetgauge.sources.bindings import bound, bound_stream, with_bindings
 from fleetgauge.sources.commits import PublishedTable
 from fleetgauge.sources.session import checkpoint_root
-from fleetgauge.streaming import jobs
+from fleetgauge.streaming import jobs, stateful
 
 _THRESHOLD = 65
 
@@ -93,6 +94,39 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.read()
 
 
+def _settled(stream: DataFrame, root: str) -> None:
+    """Everything the state lets go of for the rows landed so far; the next call goes on from its checkpoint."""
+    with stateful.state_store(stream.sparkSession):
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", f"{root}/settled")
+            .option("checkpointLocation", f"{root}/state-checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+
+def state_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _fresh_root(spark, "state-deltas")
+    for stream in _landed_by_time(spark, bound(spark, sf_dir, "counter_resets"), root, "event_time_utc"):
+        found = stateful.counter_delta_state(stream, order=["event_time_utc", "sample_id"])
+        _settled(found, root)
+    return spark.read.schema(found.schema).parquet(f"{root}/settled")
+
+
+def state_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Restart marks land with the samples of their time; all at once they would move the watermark past later samples."""
+    root = _fresh_root(spark, "state-snapshots")
+    marks = bound(spark, sf_dir, "restarts").select("server_name", F.col("restart_ts").alias("event_time_utc"))
+    rows = bound(spark, sf_dir, "cumulative_samples").unionByName(marks, allowMissingColumns=True)
+    for stream in _landed_by_time(spark, rows, root, "event_time_utc"):
+        restarts = stream.filter("value IS NULL").select("server_name", F.col("event_time_utc").alias("restart_ts"))
+        found = stateful.boundary_snapshot_state(stream.filter("value IS NOT NULL"), restarts, ["epoch_id", "value"])
+        _settled(found, root)
+    return spark.read.schema(found.schema).parquet(f"{root}/settled")
+
+
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishes the same rollup twice, as a job that is run again would."""
     root = _fresh_root(spark, "published")
@@ -108,6 +142,8 @@ QUERIES = {
     "st2_saturation_alerts": alerts,
     "st3_counter_delta": deltas,
     "st4_boundary_snapshots": snapshots,
+    "st3_counter_delta_state": state_deltas,
+    "st4_boundary_snapshots_state": state_snapshots,
     "st5_publish_rollups": published,
 }
 
@@ -125,5 +161,15 @@ WHERE avg_cpu > {_THRESHOLD}
     ),
     "st3_counter_delta": INGEST["in13_counter_delta"],
     "st4_boundary_snapshots": INGEST["in14_boundary_snapshots"],
+    "st3_counter_delta_state": with_bindings(
+        f"""SELECT server_name, event_time_utc, sample_id, raw_counter_value, delta
+FROM ({delta_sql('raw_counter_value', 'event_time_utc, sample_id', 'counter_resets')}) AS d
+WHERE event_time_utc < (SELECT max(event_time_utc) FROM counter_resets) - INTERVAL 4 HOURS"""
+    ),
+    "st4_boundary_snapshots_state": with_bindings(
+        f"""WITH {BOUNDARIES.replace("lead(u) OVER w AS next_u", "lead(u) OVER w AS next_u, lead(event_time_utc) OVER w AS follower")}
+SELECT server_name, event_time_utc AS snapshot_date_utc, snapshot_type, rollup_month, epoch_id, value FROM marked
+WHERE follower < (SELECT max(event_time_utc) FROM cumulative_samples) - INTERVAL 4 HOURS"""
+    ),
     "st5_publish_rollups": CPU["cp1_completeness"],
 }

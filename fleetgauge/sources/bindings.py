@@ -36,6 +36,15 @@ SELECT concat('srv-', cast(user_id % 5 AS string)) AS server_name,
 FROM events
 """
 
+BINDINGS["landed_scheduler_records"] = f"""
+SELECT server_name, ring_buffer_type, tick_ms, now_tick_ms, sampled_at_utc, sampled_at_local,
+       CASE WHEN tick_ms % 1020000 = 0 THEN substring(record, 1, length(record) - 20)
+            WHEN tick_ms % 1140000 = 0 THEN cast(NULL AS string)
+            WHEN tick_ms % 1380000 = 0 THEN replace(record, '</ProcessUtilization>', 'x</ProcessUtilization>')
+            ELSE record END AS record
+FROM ({BINDINGS["raw_scheduler_records"]}) AS r
+"""
+
 BINDINGS["counter_samples"] = """
 SELECT concat('srv-', cast(user_id % 2 AS string)) AS server_name,
        date_trunc('hour', ts) AS event_time_utc,

@@ -59,3 +59,25 @@ def test_hot_server_is_split_by_time(spark):
     by_server = [i for i, line in enumerate(text.splitlines()) if re.search(r"hashpartitioning\(server_name#\d+, \d+\)", line)]
     lines = text.splitlines()
     assert by_server and all("Aggregate" in lines[i + 1] or "Project" in lines[i + 1] for i in by_server)
+
+
+def test_last_sample_reads_once_and_is_cut_before_the_shuffle(spark):
+    text = plan(BATCH["dk6_last_sample"](spark, SF_DIR))
+    assert len(re.findall("FileScan", text)) == 1 and "Join" not in text
+    before = text[text.index("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" in before
+
+
+def test_nets_evaluate_boundaries_once(spark):
+    """Closed months are found among the boundary rows; the samples behind them are not read again."""
+    scans = [len(re.findall("FileScan", plan(BATCH[n](spark, SF_DIR)))) for n in ("in14_boundary_snapshots", "in14_monthly_net")]
+    assert scans[0] == scans[1]
+
+
+def test_only_named_blockers_are_carried_on(spark):
+    assert "LeftSemi" in plan(BATCH["in10_blocked_sessions"](spark, SF_DIR))
+
+
+def test_known_minutes_are_left_out_before_parsing(spark):
+    text = plan(BATCH["in3_append_new_minutes"](spark, SF_DIR))
+    assert text.index("from_xml") < text.index("LeftAnti")  # plans are printed from the result down
