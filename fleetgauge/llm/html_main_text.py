@@ -15,7 +15,8 @@ from fleetgauge.llm.common import table
 
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe xmp noembed noframes svg select button math object audio video canvas datalist".split())
+RAW = set("script style textarea title template iframe noembed noframes".split())
+NEVER = set("noscript svg select button object audio video canvas datalist".split())
 BLOCKS = set(
     "html head body main article section nav aside header footer div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot "
     "tr td th form fieldset legend figure figcaption blockquote pre address details summary dialog center menu hgroup search".split()
@@ -39,7 +40,8 @@ SMOOTH = 0.5
 #: Bounds of log ratios, so that one page type among the training pages does not rule all others: of what a text looks
 #: like, of an element, of an edge, and of content below other text. Elements and cues with starting counts count at least KNOWN the way these point.
 LOOKS, ELEMENT, KNOWN, EDGE, BELOW_OTHER = 0.8, 1.5, 5.0, 5.3, -4.0
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</[^a-zA-Z][^>]*>""", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_SPECIAL = re.compile("[>\"']")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -57,8 +59,87 @@ class Node:
     stops: int = 0
 
 
+class Scanner:
+    """Finds the markup of a page in time linear in its length, whatever is left open in it."""
+
+    def __init__(self, page: str):
+        self.page, self.dead, self.next, self.ends = page, set(), (0, 0), {}
+
+    def _special(self, at: int) -> int:
+        """The next ``>`` or quote; the last answer holds for all places before it."""
+        low, found = self.next
+        if not low <= at <= found:
+            match = _SPECIAL.search(self.page, at)
+            self.next = (at, match.start() if match else len(self.page))
+        return self.next[1]
+
+    def _tag_end(self, at: int) -> int:
+        """Place after the ``>`` that ends a tag outside quotes, or -1. Quotes from which no end was found are remembered."""
+        page, visited = self.page, []
+        while True:
+            at = self._special(at)
+            if at < len(page) and page[at] == ">":
+                return at + 1
+            close = page.find(page[at], at + 1) if at < len(page) and at not in self.dead else -1
+            if close < 0:
+                self.dead.update(visited, [at])
+                return -1
+            visited.append(at)
+            at = close + 1
+
+    def token(self, at: int) -> tuple[int, int, bool, str | None, str]:
+        """Start and end of the next markup from ``at`` on, whether it closes, its name and its attributes."""
+        page = self.page
+        while True:
+            start = page.find("<", at)
+            if start < 0 or start + 1 >= len(page):
+                return len(page), len(page), False, None, ""
+            follows = page[start + 1]
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), False, None, ""
+            if follows in "!?" or (follows == "/" and not page[start + 2 : start + 3].isalpha()):
+                last = "]]>" if page.startswith("<![CDATA[", start) else ">"
+                if last not in self.ends or self.ends[last] >= 0 and self.ends[last] < start:
+                    self.ends[last] = page.find(last, start)
+                if (end := self.ends[last]) >= 0:
+                    return start, end + len(last), False, None, ""
+            elif (name := _NAME.match(page, start)) and (end := self._tag_end(name.end())) >= 0:
+                return start, end, follows == "/", name[1].lower(), page[name.end() : end - 1]
+            at = start + 1
+
+    def closed(self, name: str, start: int) -> int | None:
+        """Place after the end tag of the element that begins at ``start``, or None if it is left open."""
+        if name not in self.ends:
+            pairs, open_ = {}, []
+            for tag in re.finditer(rf"<(/?){name}(?=[\s/>])", self.page, re.I):
+                if not tag[1]:
+                    open_.append(tag.start())
+                elif open_ and (end := self._special_end(tag.end())) >= 0:
+                    pairs[open_.pop()] = end
+            self.ends[name] = pairs
+        return self.ends[name].get(start)
+
+    def _special_end(self, at: int) -> int:
+        return self.page.find(">", at) + 1 or -1
+
+    def raw_end(self, name: str, at: int) -> int:
+        """Place after the end tag of an element without markup inside; the end of the page without one."""
+        key = f"/{name}"
+        known = self.ends.get(key, (0, 0, 0))
+        if not known[0] <= at <= known[1]:
+            found = re.compile(rf"</{name}\s*>", re.I).search(self.page, at)
+            known = self.ends[key] = (at, found.start(), found.end()) if found else (at, len(self.page), len(self.page))
+        return known[2]
+
+
 def parse(page: str) -> list[Node]:
-    """Blocks in page order, parents first. Inline elements belong to their block; ``br`` and ``hr`` end a run."""
+    """Blocks in page order, parents first. Inline elements belong to their block; ``br`` and ``hr`` end a run.
+
+    Forms' buttons and lists, drawings and players are left out as a whole if they are closed; one that is left open is
+    an inline element, so it takes nothing of the page along.
+    """
+    scanner = Scanner(page)
     nodes = [Node("#root", -1)]
     stack, at, order, links = [0], 0, 0, 0
     text: list[str] = []
@@ -84,20 +165,16 @@ def parse(page: str) -> list[Node]:
 
     position = 0
     while True:
-        found = _TOKEN.search(page, position)
-        if not found:
-            add(page[position:])
+        start, end, slash, name, attributes = scanner.token(position)
+        add(page[position:start])
+        if start >= len(page):
             break
-        add(page[position : found.start()])
-        position = found.end()
-        slash, name, attributes = found.groups()
+        position = end
         if name is None:
             continue
-        name = name.lower()
-        if name in RAW:
+        if name in RAW or name in NEVER:
             if not slash and not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, position)
-                position = end.end() if end else len(page)
+                position = scanner.raw_end(name, position) if name in RAW else scanner.closed(name, start) or position
             continue
         if name in ("br", "hr"):
             close_run()
