@@ -102,6 +102,37 @@ def roll_up(
     append_rollup(append_missing_rollups(build(pending, stored), done, keys), path)
 
 
+def publish_months(
+    spark: SparkSession,
+    source: DataFrame,
+    build: Rollup,
+    path: str,
+    start: date,
+    end: date,
+    keys: list[str] | None = None,
+    ts: str = "event_time_utc",
+    partition_column: str | None = None,
+    as_of: date | None = None,
+    run: str | None = None,
+) -> bool:
+    """``roll_up`` for tables that several runs may write at once (``PublishedTable``).
+
+    Months that are published already are left out before the heavy work, by the keys of the log; what another run
+    publishes meanwhile is left out at the commit. A run that dies leaves nothing behind. False if ``run`` was published.
+    """
+    table = PublishedTable(spark, path)
+    if as_of is not None:
+        end = min(end, as_of.replace(day=1))
+    pending = month_slice(source, start, end, ts, partition_column)
+    known, earlier = table.keys(), table.read()
+    if known is not None:
+        done = known.select(SERVER, F.col(MONTH).alias("__month")).distinct()
+        marked = pending.withColumn("__month", month_of(ts))
+        pending = marked.join(done, [SERVER, "__month"], "left_anti").select(*source.columns)
+        earlier = earlier.filter((F.col(MONTH) >= F.add_months(F.lit(start), -1)) & (F.col(MONTH) < F.lit(end)))
+    return table.publish(build(pending, earlier), keys or [SERVER, MONTH], run)
+
+
 def snapshot_boundaries(
     spark: SparkSession, batch: DataFrame, restarts: DataFrame, path: str, run: str | None = None, ts: str = "event_time_utc"
 ) -> bool:

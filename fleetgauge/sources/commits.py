@@ -78,6 +78,10 @@ class PublishedTable:
         """All published rows; None before the first commit."""
         return self._read("rows", self.log.runs())
 
+    def keys(self) -> DataFrame | None:
+        """Keys of all published rows; only runs of ``publish`` have some."""
+        return self._read("keys", self.log.runs())
+
     def state(self) -> tuple[DataFrame | None, int]:
         """State of the newest commit, and the number of commits it stands for."""
         runs = self.log.runs()

@@ -186,6 +186,26 @@ def test_an_empty_run_is_a_run(spark, tmp_path):
     assert table.read().count() == 1
 
 
+def test_published_months_are_not_computed_again(spark, tmp_path):
+    """The build step sees the months that are not published, and the month before them."""
+    samples = spark.createDataFrame([("a", day(d), d) for d in range(0, 90, 5)], "server_name string, event_time_utc timestamp_ntz, v int")
+    seen = []
+
+    def build(pending, earlier):
+        months = pending.groupBy("server_name", F.trunc("event_time_utc", "MM").alias("rollup_month")).agg(F.max("v").alias("v"))
+        seen.append((months.count(), None if earlier is None else earlier.count()))
+        return months
+
+    def publish(end, run, **options):
+        return jobs.publish_months(spark, samples, build, f"{tmp_path}/t", dt.date(2024, 1, 1), end, run=run, **options)
+
+    assert publish(dt.date(2024, 2, 1), "one") and publish(dt.date(2024, 4, 1), "two", as_of=dt.date(2024, 3, 20))
+    assert not publish(dt.date(2024, 4, 1), "two") and publish(dt.date(2024, 4, 1), "three")
+    assert seen == [(1, None), (1, 1), (1, 2), (1, 2)]
+    rows = PublishedTable(spark, f"{tmp_path}/t").read()
+    assert sorted((r["rollup_month"].month, r["v"]) for r in rows.collect()) == [(1, 30), (2, 55), (3, 85)]
+
+
 # --- restarts and boundaries -------------------------------------------------------------------------------------------
 
 COUNTERS = "server_name string, counter string, event_time_utc timestamp_ntz, value bigint"
