@@ -22,12 +22,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared checkpoint folder and reads it back; what follows no longer depends on its plan."""
+def materialize(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Writes ``df`` to the shared checkpoint folder and reads it back; what follows no longer depends on its plan.
+
+    ``free`` deletes the shuffle files of the write at its end, which Spark else keeps until the driver collects garbage:
+    for loops whose rounds each shuffle anew.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true" if free else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what ``materialize`` wrote for these tables. Nothing may read them any more, a lazy plan included."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(doc_id: Column | str, folds: int = 5) -> Column:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import GOLDEN, Memo, fold, materialize, mix, table, words_of
+from fleetgauge.llm.common import GOLDEN, Memo, discard, fold, materialize, mix, table, words_of
 
 #: Classes of tokens: the most frequent tokens each are one, all others share classes by their last three bytes.
 OWN, ENDINGS = 384, 384
@@ -266,10 +266,10 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     text_block = F.pmod(F.xxhash64("doc_id", F.xxhash64("__text")), F.lit(blocks))
     blocked = slim.withColumns({"block": text_block, "train": ~F.col("held_out")})
     found = blocked.groupBy("block").applyInArrow(_distinct, "block long, token long, after long, n long, ending long, held boolean")
-    found = materialize(found, "block-tokens")
+    found = materialize(found, "block-tokens", free=True)
     asked, asked_pairs = found.where("after IS NULL"), found.where("after IS NOT NULL")
     counted = asked.groupBy("token").agg(F.sum("n").alias("n"), F.min("ending").alias("ending"))
-    counted = materialize(counted, "tokens")
+    counted = materialize(counted, "tokens", free=True)
     top = [r.token for r in counted.where("n > 0").orderBy(F.desc("n"), "token").limit(OWN).collect()]
     own = {t % 2**64: i for i, t in enumerate(top)}
     totals = counted.where("n > 0").agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
@@ -282,30 +282,32 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
 
     top_rows = F.broadcast(docs.sparkSession.createDataFrame([(t, i) for i, t in enumerate(top)], "token long, own int"))
     classed = counted.join(top_rows, "token", "left").select("token", "n", F.coalesce("own", "ending").cast("long").alias("class"))
-    classed = materialize(classed, "classed")
+    classed = materialize(classed, "classed", free=True)
     # a pair of one occurrence has one table; only those that another document asks for need an answer, none needs a seat
     asks = F.sum((F.col("n") > 0).cast("int") + F.col("held").cast("int"))
     grouped = asked_pairs.groupBy("token", "after").agg(F.sum("n").alias("n"), asks.alias("asks"))
-    grouped = materialize(grouped.where("n > 1 OR (n = 1 AND asks > 1)").select("token", "after", "n"), "pairs")
+    grouped = materialize(grouped.where("n > 1 OR (n = 1 AND asks > 1)").select("token", "after", "n"), "pairs", free=True)
     cells = grouped.where("n > 1")
     for on, other, k in (("token", "after", "ku"), ("after", "token", "kw")):
         cells = cells.join(top_rows.select(F.col("token").alias(on), F.coalesce("own", F.lit(0)).alias("__own")), on, "left").withColumn("__own", F.coalesce("__own", F.lit(OWN)))
         cells = _met(cells, classed.select("token", "class", F.col("class").alias(k)), "__own", on, other).drop("__own")
-    cells = materialize(cells.select("token", "after", "n", "ku", "kw", F.lit(1.0).alias("t"), F.lit(0.0).alias("kept")), "cells")
+    cells = materialize(cells.select("token", "after", "n", "ku", "kw", F.lit(1.0).alias("t"), F.lit(0.0).alias("kept")), "cells", free=True)
     repeated = cells.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") == 2, 1)).alias("twos")).first()
     discount = discount_of(tokens - (repeated["n"] or 0), repeated["twos"])
 
     # all cells of one occurrence have a table each, so tables are occurrences less the excess n - t of repeated cells
     stats, inside_discount = np.zeros((CLASSES, 3)), 0.5
     values = classed.withColumn("values", F.array().cast("array<double>"))
-    kept = []
+    kept, earlier, seated = [], cells, None
     for sweep in range(-1, BURN_IN + SAMPLES):
         if sweep >= 0:
             u = values.select("token", "class", "opened")
             w = values.select("token", "class", "inside")
             base = _met(_met(cells, u, "ku", "token", "after"), w, "kw", "after", "token")
             cells = base.mapInArrow(_cells_seated(between, discount, sweep), "token long, after long, n long, ku long, kw long, t double, kept double")
-            cells = materialize(cells, "cells")
+            before, cells = earlier, materialize(cells, "cells", free=True)
+            earlier = cells
+            discard(before)
         excess, zero = F.col("n") - F.col("t"), F.lit(0.0)
         ends = cells.select("token", excess.alias("eu"), zero.alias("ew")).union(cells.select("after", zero, excess))
         ends = ends.groupBy("token").agg(F.sum("eu").alias("eu"), F.sum("ew").alias("ew"))
@@ -313,9 +315,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
             "token", "class", "n", "values", (F.col("n") - F.coalesce("eu", zero)).alias("opened"), (F.col("n") - F.coalesce("ew", zero)).alias("customers")
         )
         schema = "token long, class long, n long, values array<double>, opened double, customers double, t double"
-        seated = materialize(joined.mapInArrow(_seated(stats.copy(), inside_discount, max(sweep, 0)), schema), "seated")
+        old, seated = seated, materialize(joined.mapInArrow(_seated(stats.copy(), inside_discount, max(sweep, 0)), schema), "seated", free=True)
         once, twice = (F.count(F.when(F.col("customers") == i, 1)).alias(name) for i, name in ((1, "ones"), (2, "twos")))
         sums = seated.where("n > 0").groupBy("class").agg(F.count("*").alias("v"), F.sum("customers").alias("c"), F.sum("t").alias("t"), once, twice).collect()  # one row for each class
+        if old is not None:
+            discard(old)  # the sweep before was read for the last time
         for r in sums:
             stats[r["class"]] = (r.v, r.c, r.t)
         inside_discount = discount_of(sum(r.ones for r in sums), sum(r.twos for r in sums))
