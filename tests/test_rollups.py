@@ -193,6 +193,17 @@ def test_blocking_rows(frame):
     assert compat["x"].pct_of_total_processor_time == 0
 
 
+def test_equal_changes_on_a_half_round_alike(frame):
+    """-28.125 % in all three: half up, whatever a division of doubles would make of it."""
+    df = frame(
+        LOCK,
+        ("a", "2024-01-01", "EndOfMonth", 5, "x", 57600, 35200, 100),
+        ("a", "2024-02-01", "EndOfMonth", 5, "x", 41400, 25300, 100),
+    )
+    row = blocking.blocking_mom(blocking.blocking_net(df)).filter("rollup_month = '2024-02-01'").first()
+    assert {row.mom_blocking_change_pct, row.mom_row_lock_change_pct, row.mom_page_lock_change_pct} == {D("-28.13")}
+
+
 def events(frame, *rows):
     return frame("server_name:string event_time_local:string delta:bigint", *[("a", t, n) for t, n in rows])
 
