@@ -304,20 +304,21 @@ def classify_waits(raw: DataFrame, capacity: DataFrame, benign: DataFrame | None
     """Raw wait counters to wait samples: benign and idle types dropped, ms to seconds.
 
     ``benign`` is an optional table with a ``wait_type`` column that replaces the fixed list.
-    ``capacity`` has one row per server (see ``server_capacity``).
+    ``capacity`` has one row per server (see ``server_capacity``). Both are sent to the raw rows, which stay where they are:
+    dealt by server, all rows of a server would be sorted in one task.
     """
     busy = raw.filter(F.col("waiting_tasks_count") > 0)
     if benign is None:
         busy = busy.filter(~F.col("wait_type").isin(BENIGN_WAITS))
     else:
-        busy = busy.join(benign.select("wait_type").distinct(), "wait_type", "left_anti")
+        busy = busy.join(F.broadcast(benign.select("wait_type").distinct()), "wait_type", "left_anti")
 
     def seconds(ms: Column) -> Column:
         return (ms.cast("decimal(16,0)") * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(14,2)")
 
     wait, signal = F.col("wait_time_ms"), F.col("signal_wait_time_ms")
     share = F.try_divide(wait / F.lit(1000.0), F.col("total_server_time_seconds")) * 100
-    return busy.join(capacity.select(SERVER, "total_server_time_seconds"), SERVER).select(
+    return busy.join(F.broadcast(capacity.select(SERVER, "total_server_time_seconds")), SERVER).select(
         *[c for c in raw.columns if c.startswith("event_time")],
         SERVER,
         "total_server_time_seconds",
@@ -388,7 +389,7 @@ def lock_waits_by_database(index_stats: DataFrame, databases: DataFrame, capacit
             F.sum("page_lock_wait_in_ms").alias("page_lock_wait_ms"),
         )
         .join(databases.select(SERVER, "database_id", "database_name"), [SERVER, "database_id"], "left")
-        .join(capacity, SERVER, "left")
+        .join(F.broadcast(capacity), SERVER, "left")
         .select(
             *at,
             SERVER,
@@ -514,7 +515,7 @@ def advance_boundaries(
     if carried is not None:
         last = carried.groupBy(SERVER).agg(F.max(ts).alias("__last"))
         unseen = F.col("__last").isNull() | (F.col(ts) > F.col("__last"))
-        batch = batch.join(last, SERVER, "left").filter(unseen).select(*batch.columns).unionByName(carried)
+        batch = batch.join(F.broadcast(last), SERVER, "left").filter(unseen).select(*batch.columns).unionByName(carried)
     newest = batch.groupBy(SERVER).agg(F.max(ts).alias(ts))
     return boundary_snapshots(batch, restarts, ts), batch.join(newest, [SERVER, ts], "left_semi")
 

@@ -68,7 +68,7 @@ def apply_collections(
     """
     facts = [c for c in batch.columns if c != ts]
     known = stored.filter(F.col(TO).isNull())
-    last = (known if last_run is None else last_run).groupBy(SERVER).agg(F.max(SEEN).alias("__last"))
+    last = F.broadcast((known if last_run is None else last_run).groupBy(SERVER).agg(F.max(SEEN).alias("__last")))
     fresh = batch.join(last, SERVER, "left").filter(F.col("__last").isNull() | (F.col(ts) > F.col("__last")))
     counted = fresh.groupBy(*facts, ts).agg(F.count(F.lit(1)).alias(ROWS)).withColumn("__from", F.col(ts))
     runs = (batch if collections is None else collections).select(SERVER, ts)

@@ -61,6 +61,21 @@ def test_hot_server_is_split_by_time(spark):
     assert by_server and all("Aggregate" in lines[i + 1] or "Project" in lines[i + 1] for i in by_server)
 
 
+def test_raw_rows_meet_their_server_without_a_shuffle(spark):
+    """What has one row per server is sent to the rows, small tables or not: by server they would be one task each."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        ddl = "server_name string, wait_type string, waiting_tasks_count bigint, wait_time_ms bigint, signal_wait_time_ms bigint"
+        capacity = spark.createDataFrame([("a", 1.0)], "server_name string, total_server_time_seconds double")
+        benign = spark.createDataFrame([("X",)], "wait_type string")
+        text = plan(ingest.classify_waits(spark.createDataFrame([("a", "Y", 1, 2, 1)], ddl), capacity, benign))
+        assert "SortMergeJoin" not in text and "hashpartitioning(server_name" not in text
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_last_sample_reads_once_and_is_cut_before_the_shuffle(spark):
     text = plan(BATCH["dk6_last_sample"](spark, SF_DIR))
     assert len(re.findall("FileScan", text)) == 1 and "Join" not in text
