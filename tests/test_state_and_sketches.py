@@ -97,6 +97,66 @@ def test_state_boundaries_equal_batch(spark, tmp_path):
     assert got == want and sum(want.values()) >= 6
 
 
+class Kept:
+    """A list or a value of a state handle, and the handle of one processor."""
+
+    def __init__(self):
+        self.items, self.value, self.timers = [], None, []
+
+    getListState = getValueState = lambda self, name, schema: self
+    listTimers = lambda self: iter(self.timers)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def get(self):
+        return iter(self.items)
+
+    def clear(self):
+        self.items = []
+
+    def appendList(self, items):
+        self.items += items
+
+    put = lambda self, items: setattr(self, "items", list(items))
+
+
+class Last(Kept):
+    get = lambda self: self.value
+    update = lambda self, value: setattr(self, "value", value)
+
+
+def test_rows_wait_in_blocks_and_give_the_same_as_one_by_one():
+    """An item of state, a message and a Python step for each waiting row would take the most of a large micro-batch."""
+    import pandas as pd
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    long = lambda *names: [StructField(n, LongType()) for n in names]
+    kept = long("at_micros", "sample_id", "v")
+    out = StructType([StructField("server_name", StringType()), *kept, *long("delta")])
+    processor = stateful.Deltas(["server_name"], StructType(kept), ["at_micros", "sample_id"], StructType(long("v")), out)
+    processor.handle, processor.pending, processor.last = Kept(), Kept(), Last()
+    rng = random.Random(2)
+    rows = [(rng.randrange(10**9), i, rng.randrange(2**62) if i % 100 else None) for i in range(25_000)]
+    at = type("At", (), {"ms": 0, "getCurrentWatermarkInMs": lambda self: self.ms})()
+    given = pd.DataFrame({c: pd.array(v, "Int64") for c, v in zip(["at_micros", "sample_id", "v"], zip(*rows))})
+    assert list(processor.handleInputRows(("a",), iter([given[:9_000], given[9_000:]]), at)) == []
+    assert len(processor.pending.items) == 3 and len(processor.handle.timers) == 1
+    got = []
+    for at.ms in (300_000, 1_000_001):
+        for frame in processor.handleExpiredTimer(("a",), at, None):
+            got += [tuple(None if pd.isna(v) else v for v in r) for r in frame.itertuples(index=False)]
+    want, last = [], None
+    for when, i, v in sorted(rows):
+        step = 0 if last is None else None if v is None else v if v < last else v - last
+        want.append(("a", when, i, v, step))
+        last = v
+    assert got == want and processor.pending.items == [] and processor.handle.timers == []
+
+
 VALUES = "server_name string, event_time_utc timestamp_ntz, v bigint"
 
 
