@@ -225,7 +225,7 @@ def near_duplicates(
 
     def links(pairs: DataFrame) -> DataFrame:
         likely = _with_both(pairs, signs, "signature").mapInArrow(_agreeing(AGREE), "a long, b long").distinct()
-        return _with_both(likely, sets, "shingles").mapInArrow(_confirmed(percent), "a long, b long").distinct()
+        return _with_both(likely, sets, "shingles").mapInArrow(_confirmed(percent), "a long, b long")
 
     first = materialize(members.union(links(shared.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())), "links")
     def placed(found: DataFrame) -> DataFrame:
@@ -241,13 +241,14 @@ def near_duplicates(
         heads = left.groupBy("key").agg(*[F.min_by(F.struct("node", "component"), r).alias(f"h{k}") for k, r in enumerate(rank)])
         heads = heads.select("key", F.explode(F.array(*[f"h{k}" for k in range(HEADS)])).alias("h")).distinct()
         again = left.join(heads, "key").where("component <> h.component").select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
-        first = materialize(first.union(links(again)), "links")
-        found = materialize(connected_components(first), "components")
-        left = materialize(placed(found), "mixed")
+        more = materialize(links(again), "links")
+        if not more.isEmpty():
+            found = materialize(connected_components(found.union(more)), "components")
+            left = materialize(placed(found), "mixed")
     if not left.isEmpty():
         rest = materialize(links(_possible(left, sets, percent)), "links")
         if not rest.isEmpty():
-            found = materialize(connected_components(first.union(rest)), "components")
+            found = materialize(connected_components(found.union(rest)), "components")
     return (
         signed.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -74,6 +74,17 @@ def test_near_duplicates(docs, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Stars take one round: on many partitions each round is thousands of tasks. Repeats, loops and both directions do not matter."""
+    made = []
+    write = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: made.append(name) or write(df, name))
+    edges = [(1, n) for n in range(2, 40)] + [(50, 50), (60, 61), (61, 60), (60, 61)]
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: 1 for n in range(1, 40)} | {60: 60, 61: 60}
+    assert len(made) == 1
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
