@@ -212,6 +212,36 @@ def test_language_model_tells_rare_words_of_one_class_apart(spark):
     assert got[held[0]] > got[held[1]] + 0.3 and got == pytest.approx(whole)
 
 
+def test_language_model_keeps_few_files_and_joins_rare_words_alike(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * j * j + j) % 97 if j % 3 else j % 5}" for j in range(40 + i)) for i in range(60)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stored, gone, put, drop = [], [], pitman_yor.materialize, pitman_yor.discard
+
+    def keep(df, name, **how):
+        stored.append((name, put(df, name, **how)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(pitman_yor, "materialize", keep)
+    monkeypatch.setattr(pitman_yor, "discard", lambda *frames: (gone.extend(f.stored_at for f in frames), drop(*frames)))
+    got, rare = [], []
+    for frequent in (1 << 19, 20):
+        monkeypatch.setattr(pitman_yor, "FREQUENT", frequent)
+        stored.clear()
+        got.append({r.doc_id: r.score for r in pitman_yor.lm_scores(table, block_bytes=2_000).collect()})
+        rare.append(sum(name == "excess" for name, _ in stored))
+        # every sweep works on cells written once, and only the answers are left when documents are scored
+        assert sum(name == "cells" for name, _ in stored) == 1
+        assert {name for name, f in stored if f.stored_at not in gone} == {"answers", "asked-tokens"}
+    assert rare == [0, 1 + pitman_yor.BURN_IN + pitman_yor.SAMPLES] and got[0] == pytest.approx(got[1], rel=1e-12)
+
+
+def test_language_model_tells_a_zero_character_from_the_end(spark):
+    table = spark.createDataFrame([(i, "a \0 b") for i in range(20)], "doc_id long, text string")
+    train = sum(zlib.crc32(str(i).encode()) % 5 != 1 for i in range(20))
+    for r in pitman_yor.lm_scores(table).collect():
+        assert r.base_score == pytest.approx(4 * math.log10((train + 0.5) / (4 * train + 0.5 * 5)))
+
+
 def test_class_predictions_add_up_to_one():
     counts = np.random.default_rng(3).poisson(0.02, (pitman_yor.CLASSES,) * 2) * 40
     assert np.allclose(pitman_yor.Contexts(counts).predictive().sum(axis=1), 1)
