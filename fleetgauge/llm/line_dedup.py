@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import materialize, table, words_of
+from fleetgauge.llm.common import discard, materialize, table, words_of
 
 #: Lines match if 100 * |intersection| >= PERCENT * |union| of their sets of lower-case words.
 PERCENT = 90
@@ -183,33 +183,37 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     bitmap = [f"b{i}" for i in range(LONGS)]
     schema = f"doc long, line int, n int, d1 long, d2 long, {', '.join(f'{b} long' for b in bitmap)}, tokens array<int>"
-    lines = materialize(slim.mapInArrow(_prefixes(least, percent, shared), schema), "lines")
+    lines = materialize(slim.mapInArrow(_prefixes(least, percent, shared), schema), "lines", free=True)
     # all that depends on the words alone is the same in every line of a set
     rest = [F.first(c).alias(c) for c in ("n", *bitmap, "tokens")]
     grouped = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("f"), F.count("*").alias("copies"), *rest)
-    sets = materialize(grouped.select("d1", "d2", "f.doc", "f.line", "copies", "n", *bitmap, "tokens"), "sets")
+    sets = materialize(grouped.select("d1", "d2", "f.doc", "f.line", "copies", "n", *bitmap, "tokens"), "sets", free=True)
     repeated = sets.where("copies > 1").select("d1", "d2", F.col("doc").alias("doc2"), F.col("line").alias("line2"))
-    copies = lines.join(repeated, ["d1", "d2"]).where("doc != doc2 or line != line2").select("doc", "line")
+    copies = materialize(lines.join(repeated, ["d1", "d2"]).where("doc != doc2 or line != line2").select("doc", "line"), "copies", free=True)
+    discard(lines)
 
     # a token that is in the prefix of one set only leads nowhere
     frequent = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("lines")).where("lines > 1")
     prefix = F.col("n") - F.expr(f"({percent} * n + 99) div 100").cast("int") + 1
     unfolded = sets.select("doc", "line", "n", *bitmap, (prefix - F.size("tokens")).alias("skipped"), F.posexplode("tokens").alias("at", "token"))
     unfolded = unfolded.select("token", "n", (F.col("skipped") + F.col("at")).alias("place"), "doc", "line", *bitmap)
-    entries = materialize(unfolded.join(frequent, "token"), "entries")
+    entries = materialize(unfolded.join(frequent, "token"), "entries", free=True)
+    discard(sets)
 
     def settled(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs, "pairs")
+        pairs = materialize(pairs, "pairs", free=True)
         ends = pairs.select("doc", "line").union(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line")))
-        wanted = materialize(ends.groupBy(F.col("doc").alias("__id")).agg(F.collect_set("line").alias("wanted")), "wanted")
+        asked = wanted = materialize(ends.groupBy(F.col("doc").alias("__id")).agg(F.collect_set("line").alias("wanted")), "wanted", free=True)
         lines_wanted = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
         if lines_wanted <= WANTED_LINES:  # some 10 MB at most; beyond that texts are shuffled by id
             wanted = F.broadcast(wanted)
-        sets = materialize(slim.join(wanted, "__id").mapInArrow(_sets, "doc long, line int, words binary"), "words")
+        sets = materialize(slim.join(wanted, "__id").mapInArrow(_sets, "doc long, line int, words binary"), "words", free=True)
         s = sets.select("doc", "line", F.col("words").alias("s"))
         t = sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("t"))
         both = pairs.join(s, ["doc", "line"]).join(t, ["doc2", "line2"])
-        return materialize(both.mapInArrow(_verified(percent), "doc long, line int").distinct(), "settled")
+        matched = materialize(both.mapInArrow(_verified(percent), "doc long, line int").distinct(), "settled", free=True)
+        discard(pairs, asked, sets)
+        return matched
 
     def ends(x: str, y: str) -> list[Column]:
         return [F.col(f"{x}.doc").alias("doc"), F.col(f"{x}.line").alias("line"), F.col(f"{y}.doc").alias("doc2"), F.col(f"{y}.line").alias("line2")]
@@ -225,7 +229,9 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = settled(x.join(y, (F.col("x.token") == F.col("y.token")) & _may_match("x", "y", percent)).select(*ends("x", "y")).distinct())
     near = met.union(rest).distinct()
     # what holds for the first line of a set holds for its copies, and copies have the first line before them anyway
-    return materialize(copies.union(near).distinct(), "later")
+    later = materialize(copies.union(near).distinct(), "later", free=True)
+    discard(copies, entries, met, rest)
+    return later
 
 
 def by_document(found: DataFrame) -> DataFrame:

@@ -242,6 +242,17 @@ def test_language_model_tells_a_zero_character_from_the_end(spark):
         assert r.base_score == pytest.approx(4 * math.log10((train + 0.5) / (4 * train + 0.5 * 5)))
 
 
+def test_line_dedup_leaves_only_its_result_on_disk(spark, monkeypatch):
+    stored, gone, put, drop = [], [], line_dedup.materialize, line_dedup.discard
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, name, **how: stored.append((name, how, put(df, name, **how))) or stored[-1][2])
+    monkeypatch.setattr(line_dedup, "discard", lambda *frames: (gone.extend(f.stored_at for f in frames), drop(*frames)))
+    line = " ".join(f"t{i}" for i in range(20))
+    table = spark.createDataFrame([(1, line), (2, line), (3, line.replace("t3 ", "other ")), (4, "something else")], "doc_id long, text string")
+    assert sorted(r.doc for r in line_dedup.later_matches(table).collect()) == [2, 3]
+    assert all(how.get("free") for _, how, _ in stored)
+    assert [name for name, _, f in stored if f.stored_at not in gone] == ["later"]
+
+
 def test_class_predictions_add_up_to_one():
     counts = np.random.default_rng(3).poisson(0.02, (pitman_yor.CLASSES,) * 2) * 40
     assert np.allclose(pitman_yor.Contexts(counts).predictive().sum(axis=1), 1)
