@@ -18,6 +18,8 @@ PERCENT = 90
 MIN_WORDS = 5
 #: Token counts (whole corpus) are kept by so many hash cells: a table of fixed size. Any order of tokens gives the exact result.
 CELLS = 1 << 18
+#: Distinct tokens counted at a time: a table that stays in the processor's cache.
+COUNTED = 1 << 16
 #: Tokens handled at a time, and lines of one token beyond which drawn lines are compared first.
 BLOCK, HEAVY, HEADS = 1 << 18, 32, 6
 #: Longs of the bitmap of a line.
@@ -28,14 +30,19 @@ WANTED_LINES = 400_000
 
 def _counts(batches):
     """Occurrences of tokens in whole texts, by hash cell."""
-    total = np.zeros(CELLS, np.int64)
+    total, found = np.zeros(CELLS, np.int64), Counter()
+
+    def add():
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+        np.add.at(total, (h & np.uint64(CELLS - 1)).astype(np.int64), np.fromiter(found.values(), np.int64, len(found)))
+        found.clear()
+
     for batch in batches:
-        found = Counter()
         for text in batch.column("__text").to_pylist():
             found.update(words_of(text))
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-        cell = (h & np.uint64(CELLS - 1)).astype(np.int64)
-        total += np.bincount(cell, np.fromiter(found.values(), np.float64, len(found)), CELLS).astype(np.int64)
+            if len(found) >= COUNTED:
+                add()
+    add()
     cells = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=["cell", "n"])
 
